@@ -51,12 +51,14 @@ def _bucket(df: DataFrame, col: str, width: float | None) -> Column:
 
 
 def with_position(df: DataFrame, keys: Sequence[str], order: Sequence[str],
-                  bucket_width: float | None = None) -> DataFrame:
+                  bucket_width: float | None = None, bucket: Column | None = None) -> DataFrame:
     """Add ``_sk`` (series key struct) and ``_pos`` (exact dense position in the
     series by ``order``; make ``order`` unique within a key for determinism).
     ``bucket_width`` is in seconds for a timestamp first order column (default one
-    hour), else in the column's units (default 1)."""
-    base = df.withColumn(SK, series_key(keys)).withColumn("_tb", _bucket(df, order[0], bucket_width))
+    hour), else in the column's units (default 1). ``bucket`` overrides the bucket
+    expression; it must be non-decreasing along ``order``."""
+    tb = bucket if bucket is not None else _bucket(df, order[0], bucket_width)
+    base = df.withColumn(SK, series_key(keys)).withColumn("_tb", tb)
     local = base.withColumn(
         "_lpos", F.row_number().over(Window.partitionBy(SK, "_tb").orderBy(*order)) - F.lit(1))
     counts = base.groupBy(SK, "_tb").agg(F.count(F.lit(1)).alias("_cnt"))
