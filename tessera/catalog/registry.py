@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["series", "tabular"]
+MODULES = ["series", "tabular", "text"]
 
 
 def _mods():
