@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["series", "tabular", "text"]
+MODULES = ["series", "tabular", "text", "evaluation"]
 
 
 def _mods():
