@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["series", "tabular", "text", "evaluation"]
+MODULES = ["series", "tabular", "text", "evaluation", "learning"]
 
 
 def _mods():
