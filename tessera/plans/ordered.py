@@ -74,17 +74,19 @@ def _chunk_of(chunk_rows: int) -> Column:
 
 
 def halo_chunks(df: DataFrame, halo: int, chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
-    """Assign ``_chunk`` and copy the last ``halo`` rows of each chunk into the next
-    chunk with ``_halo = true`` (one explode, no second scan)."""
-    if not 0 <= halo < chunk_rows:
-        raise ValueError("halo must be smaller than chunk_rows")
+    """Assign ``_chunk`` and copy each row into every later chunk whose first
+    ``halo`` preceding positions it covers (``_halo = true`` on the copies); one
+    explode, no second scan. Any ``halo`` works; copies per row are
+    ``ceil(halo / chunk_rows)`` at most."""
+    if halo < 0:
+        raise ValueError("halo must be >= 0")
     if halo == 0:
         return df.withColumn("_chunk", _chunk_of(chunk_rows)).withColumn("_halo", F.lit(False))
-    tail = F.pmod(F.col(POS), F.lit(chunk_rows)) >= F.lit(chunk_rows - halo)
-    shifts = F.when(tail, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    return (df.withColumn("_shift", F.explode(shifts))
-            .withColumn("_chunk", _chunk_of(chunk_rows) + F.col("_shift"))
-            .withColumn("_halo", F.col("_shift") == F.lit(1))
+    own = _chunk_of(chunk_rows)
+    last = F.floor((F.col(POS) + F.lit(halo)) / F.lit(chunk_rows)).cast("long")
+    return (df.withColumn("_shift", F.explode(F.sequence(F.lit(0).cast("long"), last - own)))
+            .withColumn("_chunk", own + F.col("_shift"))
+            .withColumn("_halo", F.col("_shift") > F.lit(0))
             .drop("_shift"))
 
 
