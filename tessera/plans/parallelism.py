@@ -1,0 +1,17 @@
+"""Input spreading for heavy per-row work."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash-spread an input that was read as fewer splits than the cluster has
+    task slots (a small or unsplittable file) before expensive per-row work such
+    as tokenizing whole texts. An input already split at least that finely (any
+    large table) is returned unchanged, so no shuffle is added at scale. Only
+    the plan is inspected; no job runs."""
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= slots:
+        return df
+    return df.repartition(slots, *keys) if keys else df.repartition(slots)
