@@ -212,3 +212,12 @@ def score_toxicity(df: DataFrame, model: NonNegativePU | None, id_col: str = "do
 
     scored = source.mapInArrow(run, f"`{id_col}` {id_type}, score double")
     return scored.withColumn("predicted", (F.col("score") >= F.lit(threshold)).cast("int"))
+
+
+def keep_clean(df: DataFrame, model: NonNegativePU | None, text_col: str = "text", threshold: float = 0.3) -> DataFrame:
+    """The rows of ``df``, with all their columns, whose text scores below
+    ``threshold``. The scored column travels with its row, so that no join and no
+    unique id is needed."""
+    whole = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("__row"), F.col(text_col).alias(TEXT))
+    scored = score_toxicity(whole, model, "__row", TEXT, threshold)
+    return scored.filter("predicted = 0").select("__row.*")
