@@ -61,6 +61,15 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Rows up to which a side is broadcast; beyond, the join shuffles both sides.
+BROADCAST_ROWS = 500_000
+
+
+def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """``df`` (a staged table) marked for broadcast if it has at most ``rows`` rows."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
 def letters(token: str) -> str:
     """The letters of a token in lower case (empty if it has none)."""
     return "".join(_LETTERS.findall(token.lower()))
@@ -72,7 +81,11 @@ def spaced_pieces(text: str) -> list[str]:
     place (a pre-token holds a space only as its first character or in a run of white
     space) and no look-ahead can see past it, so ``pieces[0]`` and every
     ``" " + piece`` after it encode independently of each other."""
-    spaces = text.count(" ")
-    if len(text.split()) - 1 == spaces + text.count("\n"):
-        return text.split(" ")  # every run of white space is one character: each space qualifies
+    if single_white(text):
+        return text.split(" ")
     return _SINGLE_SPACE.split(text)
+
+
+def single_white(text: str) -> bool:
+    """Whether every run of white space is one space or line feed, inside the text."""
+    return len(text.split()) - 1 == text.count(" ") + text.count("\n")

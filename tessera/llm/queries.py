@@ -5,10 +5,12 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tessera.llm import langid, tokencount, toxicity
+from tessera.llm import bpe, decontam, langid, ngram_join, pii, tokencount, toxicity
 from tessera.llm.common import held_out
 from tessera.sources.tables import table
 
+#: Key of the pseudonyms that the registered queries use; a deployment has its own.
+PII_KEY = "tessera-demonstration-key"
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
 
@@ -30,5 +32,72 @@ def op6_language_id(spark, sf_dir):
     return pred.select("doc_id", held_out("doc_id").alias("held_out"), "lang_pred", "score")
 
 
-QUERIES = {f.__name__: f for f in (op4_toxicity, op5_token_counts, op6_language_id)}
+def op1_bpe(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    encoded = bpe.encode(docs, BYTE_BPE).select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"), "ids")
+    decoded = bpe.decode(encoded, BYTE_BPE)
+    return decoded.select("doc_id", "n_tokens", "ids_sha256", F.sha2("text", 256).alias("decoded_sha256"))
+
+
+def op3_decontamination(spark, sf_dir):
+    found = decontam.find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+                        (F.col("n_hit") > 0).alias("contaminated"))
+
+
+def op9_pii(spark, sf_dir):
+    found = pii.pseudonymise(table(spark, sf_dir, "documents"), PII_KEY)
+    return found.select("doc_id", F.size("pii").cast("long").alias("n_pii"),
+                        F.array_join(F.col("pii.kind"), ",").alias("kinds"), "text")
+
+
+def op10_ngram_join(spark, sf_dir):
+    return ngram_join.jaccard_components(table(spark, sf_dir, "documents"), k=4, num=85, den=100)
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_bpe, op3_decontamination, op4_toxicity, op5_token_counts, op6_language_id, op9_pii, op10_ngram_join)}
+
 ORACLE: dict[str, str] = {}
+
+ORACLE["op3_decontamination"] = r"""
+WITH d AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM documents),
+b AS (
+  SELECT item_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM benchmark),
+win AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(w[s:s + least(len(w), 10) - 1], ' ') AS win
+  FROM (SELECT item_id, w, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS s FROM b WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT n FROM win),
+occ AS (
+  SELECT doc_id, s, n, array_to_string(w[s:s + n - 1], ' ') AS win
+  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS s FROM d, sizes WHERE len(w) >= n)),
+hit AS (SELECT doc_id, s, occ.n, item_id FROM occ JOIN win ON occ.n = win.n AND occ.win = win.win),
+pos AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(s, s + n)) AS p FROM hit) GROUP BY doc_id),
+it AS (SELECT doc_id, count(*) AS n_items, string_agg(i, ',' ORDER BY i) AS items
+       FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS i FROM hit) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN pos USING (doc_id) LEFT JOIN it USING (doc_id)
+"""
+
+ORACLE["op10_ngram_join"] = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+sh AS (SELECT DISTINCT doc_id, array_to_string(w[s:s + least(len(w), 4) - 1], ' ') AS g
+       FROM (SELECT doc_id, w, unnest(range(1, len(w) - least(len(w), 4) + 2)) AS s FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+link AS (
+  SELECT a, b FROM (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS i FROM sh x JOIN sh y ON x.g = y.g AND x.doc_id <> y.doc_id
+                    GROUP BY 1, 2) p JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b
+  WHERE 100 * i >= 85 * (na.n + nb.n - i)),
+reach AS (SELECT doc_id, doc_id AS r FROM d UNION SELECT reach.doc_id, link.b AS r FROM reach JOIN link ON link.a = reach.r)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, min(r) AS component_id
+FROM d LEFT JOIN n USING (doc_id) JOIN reach ON reach.doc_id = d.doc_id GROUP BY d.doc_id, n.n
+"""
