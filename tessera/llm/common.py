@@ -6,6 +6,7 @@ import re
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -75,6 +76,20 @@ def letters(token: str) -> str:
     return "".join(_LETTERS.findall(token.lower()))
 
 
+def text_slices(texts: list[str], chars: int = 2_000_000) -> Iterator[list[str]]:
+    """A batch's texts in runs of about ``chars`` characters (a longer text alone), for
+    work that holds all tokens of a run."""
+    run, size = [], 0
+    for t in texts:
+        if run and size + len(t) > chars:
+            yield run
+            run, size = [], 0
+        run.append(t)
+        size += len(t)
+    if run:
+        yield run
+
+
 def spaced_pieces(text: str) -> list[str]:
     """Cut before every space that stands between two characters that are not white
     space; the space is dropped. No pre-token of a byte-level BPE can cross such a

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, decontam, langid, ngram_join, pii, tokencount, toxicity
+from tessera.llm import ann, bpe, chat, decontam, langid, license, ngram_join, pii, tokencount, toxicity
 from tessera.llm.common import held_out
 from tessera.sources.tables import table
 
@@ -41,6 +41,11 @@ def op1_bpe(spark, sf_dir):
     return decoded.select("doc_id", "n_tokens", "ids_sha256", F.sha2("text", 256).alias("decoded_sha256"))
 
 
+def op2_ann(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings")
+    return ann.search(vectors, vectors.filter(F.col("vec_id") % 100 == 0), k=10)
+
+
 def op3_decontamination(spark, sf_dir):
     found = decontam.find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
@@ -48,6 +53,18 @@ def op3_decontamination(spark, sf_dir):
                         (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op7_license_scan(spark, sf_dir):
+    return license.scan_licenses(table(spark, sf_dir, "documents"), license.default_templates(spark))
+
+
+def op8_chat_format(spark, sf_dir):
+    talk = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    control = spark.createDataFrame(
+        [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")], talk.schema)
+    formatted = chat.format_turns(talk.unionByName(control), chat.text_part(F.col("text")))
+    return chat.read_back(formatted)
+
+
 def op9_pii(spark, sf_dir):
     found = pii.pseudonymise(table(spark, sf_dir, "documents"), PII_KEY)
     return found.select("doc_id", F.size("pii").cast("long").alias("n_pii"),
@@ -59,7 +76,8 @@ def op10_ngram_join(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_bpe, op3_decontamination, op4_toxicity, op5_token_counts, op6_language_id, op9_pii, op10_ngram_join)}
+    op1_bpe, op2_ann, op3_decontamination, op4_toxicity, op5_token_counts, op6_language_id, op7_license_scan,
+    op8_chat_format, op9_pii, op10_ngram_join)}
 
 ORACLE: dict[str, str] = {}
 
@@ -101,3 +119,20 @@ reach AS (SELECT doc_id, doc_id AS r FROM d UNION SELECT reach.doc_id, link.b AS
 SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, min(r) AS component_id
 FROM d LEFT JOIN n USING (doc_id) JOIN reach ON reach.doc_id = d.doc_id GROUP BY d.doc_id, n.n
 """
+
+ORACLE["op8_chat_format"] = r"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT * FROM (VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]'))),
+c(s) AS (VALUES ('<s>'), ('</s>'), ('[INST]'), ('[/INST]'), ('<|image|>'), ('<|audio|>'), ('<|document|>'), (chr(92))),
+e AS (SELECT t.*, length(text) + length(role) + 20
+        + list_sum([CAST((length(text) - length(replace(text, s, ''))) / length(s) AS BIGINT) FOR s IN (SELECT list(c.s) FROM c)])
+        + list_sum([CAST((length(role) - length(replace(role, s, ''))) / length(s) AS BIGINT) FOR s IN (SELECT list(c.s) FROM c)]) AS f
+      FROM t)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+       sha256(string_agg(CASE WHEN role = 'assistant' THEN text ELSE '' END, '' ORDER BY turn, role, text)) AS loss_sha256,
+       CAST(sum(f) AS BIGINT) AS formatted_chars
+FROM e GROUP BY conv_id
+"""
