@@ -8,8 +8,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import toxicity
+from tessera.llm import bpe, decontam, ngram_join, pii, toxicity
 from tessera.llm.common import held_out, staged
+from tessera.llm.queries import BYTE_BPE, PII_KEY
 from tessera.sources.tables import table
 
 
@@ -20,7 +21,39 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.keep_clean(docs, model)
 
 
-STAGES = [("toxicity", drop_toxic)]
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Stage 2: of documents linked by shared five-word shingles (Jaccard similarity of
+    0.8 or more) one stays."""
+    return ngram_join.keep_one_of_each(docs, k=5, num=80, den=100)
+
+
+def drop_benchmark_text(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Stage 3: documents that hold ten consecutive words of a benchmark item go."""
+    return decontam.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+def hide_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Stage 4: personal data become pseudonyms; ``n_chars`` follows the new text."""
+    found = pii.pseudonymise(docs, PII_KEY, found_col="__pii")
+    changed = F.when(F.size("__pii") > 0, F.char_length("text").cast("long")).otherwise(F.col("n_chars"))
+    return found.withColumn("n_chars", changed).select(*docs.columns)
+
+
+def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Stage 5: every document's token ids, decoded again to prove the round trip."""
+    encoded = bpe.encode(docs, BYTE_BPE)
+    kept = encoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", F.col("ids").alias("__ids"))
+    decoded = bpe.decode(kept, BYTE_BPE, "__ids", "__decoded")
+    return decoded.select("doc_id", "n_tokens", "ids", F.sha2("__decoded", 256).alias("decoded_sha256"))
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("n-gram join", drop_near_duplicates),
+    ("decontamination", drop_benchmark_text),
+    ("pii", hide_personal_data),
+    ("bpe", tokenize),
+]
 
 #: The classifiers, the permutations and the encoder have no SQL form; the stages are
 #: tested against brute-force versions.

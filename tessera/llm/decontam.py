@@ -60,15 +60,10 @@ def _kept(words: Column, k: int, window: int) -> Column:
     return bind(_grams(words, k), lambda g: F.array_distinct(_minima(g, window)))
 
 
-def find_contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                       item_col: str = "item_id", item_text_col: str = "text", span: int = SPAN) -> DataFrame:
-    """One row for each row of ``docs``: ``(id_col, n_words, n_hit, items)``. A window is
-    ``span`` consecutive words of an item, or the whole item if it has fewer; ``n_hit``
-    counts the row's words inside any occurrence of a window and ``items`` lists, sorted
-    as strings, the items of which a window occurs. Null texts and texts without words
-    have no words and no windows; items with a null id are left out; repeated items and
-    rows count by themselves; rows equal in id and text have equal results. Very short
-    items are found by whole-item grams, so that nothing is missed there either."""
+def _matches(docs: DataFrame, benchmark: DataFrame, id_col: str, text_col: str, item_col: str, item_text_col: str,
+             span: int) -> tuple[DataFrame, DataFrame]:
+    """All rows as ``(id, th, n)``, and ``(hid, hth, items, n_hit)`` of those with hits;
+    the hash of the text tells rows of one id apart."""
     items = (benchmark.select(F.col(item_col).cast("string").alias("item"), words_of(F.col(item_text_col)).alias("iw"))
              .filter(F.col("item").isNotNull() & (F.size("iw") > 0)).distinct())
     items = staged(items.withColumn("ik", F.xxhash64("item", "iw")).withColumn("m", F.size("iw")), "decontam-items")
@@ -123,7 +118,30 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc
                  .groupBy("id", "th").agg(F.count("pos").alias("n_hit")))
     both = per_items.select(F.col("id").alias("hid"), F.col("th").alias("hth"), "items").join(
         per_words, (F.col("id").eqNullSafe(F.col("hid"))) & (F.col("th").eqNullSafe(F.col("hth")))).select("hid", "hth", "items", "n_hit")
-    out = marked.select("id", "th", "n").join(broadcast_if_small(staged(both, "decontam-both")), same, "left")
+    return marked.select("id", "th", "n"), staged(both, "decontam-both")
+
+
+def find_contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                       item_col: str = "item_id", item_text_col: str = "text", span: int = SPAN) -> DataFrame:
+    """One row for each row of ``docs``: ``(id_col, n_words, n_hit, items)``. A window is
+    ``span`` consecutive words of an item, or the whole item if it has fewer; ``n_hit``
+    counts the row's words inside any occurrence of a window and ``items`` lists, sorted
+    as strings, the items of which a window occurs. Null texts and texts without words
+    have no words and no windows; items with a null id are left out; repeated items and
+    rows count by themselves; rows equal in id and text have equal results. Very short
+    items are found by whole-item grams, so that nothing is missed there either."""
+    rows, hits = _matches(docs, benchmark, id_col, text_col, item_col, item_text_col, span)
+    same = F.col("id").eqNullSafe(F.col("hid")) & F.col("th").eqNullSafe(F.col("hth"))
+    out = rows.join(broadcast_if_small(hits), same, "left")
     return out.select(F.col("id").alias(id_col), F.col("n").cast("long").alias("n_words"),
                       F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
                       F.coalesce("items", F.expr("array()").cast("array<string>")).alias("items"))
+
+
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                      item_col: str = "item_id", item_text_col: str = "text", span: int = SPAN) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that hold no window of any item."""
+    _, hits = _matches(docs, benchmark, id_col, text_col, item_col, item_text_col, span)
+    hits = broadcast_if_small(hits.select(F.col("hid").alias("__hid"), F.col("hth").alias("__hth")))
+    same = docs[id_col].eqNullSafe(F.col("__hid")) & F.xxhash64(docs[text_col].cast("string")).eqNullSafe(F.col("__hth"))
+    return docs.join(hits, same, "left_anti")

@@ -25,7 +25,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import ID, TEXT, id_and_text, staged
+from tessera.llm.common import ID, TEXT, broadcast_if_small, id_and_text, staged
 from tessera.llm.components import connected_components
 from tessera.llm.shingles import WordHash, shingle_set
 
@@ -34,8 +34,6 @@ from tessera.llm.shingles import WordHash, shingle_set
 ORDERED = 400_000
 #: Shingles a counting bucket is meant to hold, and bits of a shingle kept in it.
 BUCKET_ITEMS, BITS = 1_500_000, 24
-#: Rows of ids up to which they are broadcast into the scan; beyond, a shuffle join.
-BROADCAST_ROWS = 2_000_000
 
 
 def _pack(values: np.ndarray) -> bytes:
@@ -207,8 +205,7 @@ def _overlaps(pairs: DataFrame, source: DataFrame, k: int) -> DataFrame:
     """``(a, b, na, nb, both)`` of candidate pairs by comparing their whole sets. An id
     with several texts counts with the pair that overlaps most."""
     ids = staged(pairs.select(F.col("a").alias(ID)).unionByName(pairs.select(F.col("b").alias(ID))).distinct(), "join-ids")
-    wanted = F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids
-    texts = staged(source.join(wanted, ID, "left_semi"), "join-texts")
+    texts = staged(source.join(broadcast_if_small(ids), ID, "left_semi"), "join-texts")
     a_side = texts.select(F.col(ID).alias("a"), F.col(TEXT).alias("ta"))
     b_side = texts.select(F.col(ID).alias("b"), F.col(TEXT).alias("tb"))
     id_type = source.schema[ID].dataType.simpleString()
@@ -302,3 +299,26 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     out = fronts.select(ID, "n", "sig").join(rep_of, ["sig", "n"], "left")
     return out.select(F.col(ID).alias(id_col), F.col("n").cast("long").alias("n_shingles"),
                       F.coalesce("component_id", F.when(F.col("n") == 0, F.col(ID))).alias("component_id"))
+
+
+def keep_one_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, num: int = 80,
+                     den: int = 100) -> DataFrame:
+    """The rows of ``df``, with all their columns, that stay when one document of each
+    component stays: the one of the smallest id. Documents without words stay. Of rows
+    that share an id one stays; of rows without an id, those whose text no row with an
+    id has, once each."""
+    found = staged(jaccard_components(df, id_col, text_col, k, num, den).select(
+        F.col(id_col).alias(ID), "component_id").filter(F.col(ID).isNotNull()), "join-found")
+    gone = staged(found.filter(F.col("component_id") != F.col(ID)).select(ID).distinct(), "join-gone")
+    several = staged(found.groupBy(ID).count().filter("count > 1").select(ID), "join-several")
+    named = df.filter(F.col(id_col).isNotNull())
+    kept = named.join(broadcast_if_small(gone), F.col(id_col) == F.col(ID), "left_anti")
+    if several.limit(1).count():
+        at = F.col(id_col) == F.col(ID)
+        kept = kept.join(broadcast_if_small(several), at, "left_anti").unionByName(
+            kept.join(broadcast_if_small(several), at, "left_semi").dropDuplicates([id_col]))
+    nameless = df.filter(F.col(id_col).isNull())
+    if nameless.limit(1).count():
+        texts = named.select(F.col(text_col).alias(TEXT)).filter(F.col(TEXT).isNotNull()).distinct()
+        kept = kept.unionByName(nameless.dropDuplicates([text_col]).join(texts, F.col(text_col) == F.col(TEXT), "left_anti"))
+    return kept
