@@ -126,31 +126,38 @@ def _tfidf_sql(grams_all: str, grams_fit: str, min_df: int, limit: int) -> str:
 WITH tf AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(grams) AS term FROM ({grams_all})) GROUP BY doc_id, term),
 w AS (SELECT doc_id, tf.term, (1 + ln(tf)) * idf AS weight FROM tf JOIN ({_idf_sql(grams_fit, min_df, limit)}) i ON tf.term = i.term),
 nw AS (SELECT doc_id, weight / sqrt(sum(weight * weight) OVER (PARTITION BY doc_id)) AS weight FROM w)
-SELECT doc_id, count(*) AS n_terms, round_even(sum(weight), 9) AS weight_sum, round_even(max(weight), 9) AS weight_max,
-       round_even(sum(weight * weight), 9) AS sq_sum FROM nw GROUP BY doc_id"""
+SELECT doc_id, count(weight) AS n_terms, round_even(coalesce(sum(weight), 0), 9) AS weight_sum,
+       round_even(coalesce(max(weight), 0), 9) AS weight_max, round_even(coalesce(sum(weight * weight), 0), 9) AS sq_sum
+FROM documents LEFT JOIN nw USING (doc_id) GROUP BY doc_id"""
 
 
-def _tfidf_summary(w: DataFrame) -> DataFrame:
-    return r9_all(w.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_terms"), F.sum("weight").alias("weight_sum"),
-                                          F.max("weight").alias("weight_max"),
-                                          F.sum(F.col("weight") * F.col("weight")).alias("sq_sum")))
+def _flagged(spark, sf):
+    """Every document, with whether it is one of the labelled (fitted) ones."""
+    fit = table(spark, sf, "labels").select("doc_id", F.lit(True).alias("fit")).distinct()
+    return table(spark, sf, "documents").join(fit, "doc_id", "left").withColumn("fit", F.coalesce("fit", F.lit(False)))
+
+
+def _tfidf_summary(w: DataFrame, docs: DataFrame) -> DataFrame:
+    """One row for each document; one without a known term is a zero row."""
+    s = w.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_terms"), F.sum("weight").alias("weight_sum"),
+                                F.max("weight").alias("weight_max"),
+                                F.sum(F.col("weight") * F.col("weight")).alias("sq_sum"))
+    return r9_all(docs.select("doc_id").join(s, "doc_id", "left").na.fill(0))
 
 
 @register("h7_word_tfidf", _tfidf_sql(_word_grams_sql(), _word_grams_sql(FIT_SQL), 1, 100000))
 def h7_word_tfidf(spark, sf):
     """H5-H7: sublinear tf x idf, L2-normalised word weights of every document
     (fit on the labelled ones); per-document summary of the sparse vector."""
-    w = H.fit_transform_tfidf(_fit_docs(spark, sf), table(spark, sf, "documents"), "doc_id", "text",
-                              "word", (1, 3), 1, 100000)
-    return _tfidf_summary(w)
+    w, _ = H.fit_transform_tfidf(_flagged(spark, sf), "doc_id", "text", "fit", "word", (1, 3), 1, 100000)
+    return _tfidf_summary(w, table(spark, sf, "documents"))
 
 
 @register("h7_char_tfidf", _tfidf_sql(_char_grams_sql(), _char_grams_sql(FIT_SQL), 2, 50000))
 def h7_char_tfidf(spark, sf):
     """H2+H5-H7: char_wb 3-5 TF-IDF block (min_df 2, 50000 terms)."""
-    w = H.fit_transform_tfidf(_fit_docs(spark, sf), table(spark, sf, "documents"), "doc_id", "text",
-                              "char_wb", (3, 5), 2, 50000)
-    return _tfidf_summary(w)
+    w, _ = H.fit_transform_tfidf(_flagged(spark, sf), "doc_id", "text", "fit", "char_wb", (3, 5), 2, 50000)
+    return _tfidf_summary(w, table(spark, sf, "documents"))
 
 
 def _kw_sql(weight: float) -> str:
@@ -187,7 +194,7 @@ FROM b JOIN f USING (batch_id) GROUP BY b.batch_id, f.tag"""
 
 def _batches(spark, sf):
     conv = table(spark, sf, "conversations")
-    return H10.make_batches(conv, ["conv_id", "turn"], "text", "role", 30, bucket_width=1000)
+    return H10.make_batches(conv, ["conv_id", "turn"], "text", "role", 30)
 
 
 @register("h10_batches", f"SELECT CAST(batch_id AS BIGINT) AS batch_id, CAST(n AS INTEGER) AS n, tag, md5(prompt) AS prompt_md5, "
@@ -237,14 +244,26 @@ SELECT unnest(conv_ids) AS conv_id, unnest(turns) AS turn, CAST(batch_id AS BIGI
        unnest(labels_out) AS label, n_mismatch FROM l"""
 
 
+@register("h10_scored_batches", """
+WITH p AS (SELECT conv_id, turn, row_number() OVER (ORDER BY conv_id, turn, role) - 1 AS pos FROM conversations)
+SELECT conv_id, turn, CAST(pos // 30 AS BIGINT) AS batch_id, false AS n_mismatch,
+       (['credit_risk', 'market_risk', 'operational_risk'])[CAST((pos % 30) % 3 + 1 AS INTEGER)] AS label FROM p""")
+def h10_scored_batches(spark, sf):
+    """H10 + B20 + B21: batches go through the scorer hook (a deterministic one that
+    labels the numbered items in turn) and every row gets its label back."""
+    conv = table(spark, sf, "conversations")
+    b = H10.make_batches(conv, ["conv_id", "turn", "role"], "text", "role", 30)
+    names = ["credit_risk", "market_risk", "operational_risk"]
+    return H10.labels_from_replies(H10.score_batches(b, H10.echo_scorer(names)), ["conv_id", "turn"], names)
+
+
 @register("b20_b21_reply_labels", REPLY_SQL)
 def b20_b21_reply_labels(spark, sf):
     """B20 + B21: per-row risk labels parsed from each batch's reply (array
     extracted from surrounding text, labels normalised, failures -> other_risk,
     padded to the batch size)."""
     conv = table(spark, sf, "conversations")
-    b = H10.make_batches(conv.withColumn("_role", F.col("role")), ["conv_id", "turn", "role"], "text", "_role",
-                         30, bucket_width=1000)
+    b = H10.make_batches(conv.withColumn("_role", F.col("role")), ["conv_id", "turn", "role"], "text", "_role", 30)
     replies = _synthetic_replies(b)
     out = H10.labels_from_replies(replies, ["conv_id", "turn"])
     return out

@@ -5,22 +5,20 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.functions.replies import DEFAULT_LABEL, RISK_LABELS, extract_json_array, normalize_labels
 from tessera.plans import ordered as O
 
 
-def make_batches(df: DataFrame, order: Sequence[str], text: str, tag: str, size: int = 30,
-                 bucket_width: float | None = None) -> DataFrame:
+def make_batches(df: DataFrame, order: Sequence[str], text: str, tag: str, size: int = 30) -> DataFrame:
     """Rows in ``order`` dealt into consecutive batches of ``size``; per batch
     the prompt ``"i. [tag] text"`` lines (``i`` from 1), where ``tag`` is the
     batch's first row's tag, the row keys in order and the batch size. The global
-    position comes from the bucketed position plan (no single-task window)."""
-    pos = O.with_position(df.withColumn("_txt", F.coalesce(F.col(text), F.lit(""))), [], list(order),
-                          bucket_width=bucket_width)
+    position comes from the ordered plan (no single-task window)."""
+    pos = O.with_position(df.withColumn("_txt", F.coalesce(F.col(text), F.lit(""))), [], list(order))
     pos = pos.withColumn("batch_id", F.floor(F.col(O.POS) / F.lit(size)).cast("long")) \
              .withColumn("_i", (F.pmod(F.col(O.POS), F.lit(size)) + F.lit(1)).cast("int"))
     g = pos.groupBy("batch_id").agg(
@@ -40,7 +38,8 @@ def score_batches(batches: DataFrame, scorer: Callable[[str], str]) -> DataFrame
     def run(it):
         for pdf in it:
             yield pdf.assign(reply=[scorer(p) for p in pdf["prompt"]])
-    schema = batches.schema.add("reply", "string")
+
+    schema = T.StructType([*batches.schema.fields, T.StructField("reply", T.StringType())])
     return batches.mapInPandas(run, schema)
 
 
@@ -59,13 +58,16 @@ def labels_from_replies(scored: DataFrame, order: Sequence[str], valid: Sequence
 
 
 def echo_scorer(labels: Sequence[str] = RISK_LABELS) -> Callable[[str], str]:
-    """A deterministic offline scorer for tests: one label per prompt line."""
+    """A deterministic offline scorer for tests: one label per numbered item. Items are
+    counted by their numbers in sequence, so line breaks inside a text add none."""
     import json
 
     def score(prompt: str) -> str:
-        n = len(prompt.split("\n")) if prompt else 0
+        n = 0
+        for line in (prompt or "").split("\n"):
+            n += line.startswith(f"{n + 1}. [")
         return json.dumps([labels[i % len(labels)] for i in range(n)])
     return score
 
 
-__all__ = ["make_batches", "score_batches", "labels_from_replies", "echo_scorer", "pd"]
+__all__ = ["make_batches", "score_batches", "labels_from_replies", "echo_scorer"]

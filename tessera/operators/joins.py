@@ -9,16 +9,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.time import epoch_us
+from tessera.session import broadcast_if_small
 
 
 def lookup_join(df: DataFrame, dim: DataFrame, key: str, value: str, out: str,
-                default, dim_key: str | None = None, dim_is_small: bool = False) -> DataFrame:
-    """Left equi-join to a dimension, missing or NULL key -> ``default``.
-    ``dim_is_small`` asserts a size bound on ``dim`` (e.g. one row per category of
-    a fixed code list) and broadcasts it; otherwise Spark/AQE picks the strategy."""
+                default, dim_key: str | None = None) -> DataFrame:
+    """Left equi-join to a dimension, missing or NULL key -> ``default``. A
+    dimension of at most ``BROADCAST_ROWS`` rows (counted here) is broadcast, so the
+    facts are not shuffled by its few keys; a larger one is joined by shuffle."""
     dk = dim_key or key
     right = dim.select(F.col(dk).alias("_dk"), F.col(value).alias("_dv"))
-    right = F.broadcast(right) if dim_is_small else right
+    right = broadcast_if_small(right)
     joined = df.join(right, F.col(key) == F.col("_dk"), "left")
     return joined.withColumn(out, F.coalesce(F.col("_dv"), F.lit(default))).drop("_dk", "_dv")
 

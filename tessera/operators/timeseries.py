@@ -6,6 +6,8 @@ unique inside a key (timestamp, then id)."""
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,10 +20,9 @@ from tessera.plans import ordered as O
 _AGG = {"max": F.max, "min": F.min, "mean": F.avg, "sum": F.sum}
 
 
-def order_series(df: DataFrame, keys: Sequence[str], order: Sequence[str],
-                 bucket_width: float | None = None) -> DataFrame:
+def order_series(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Attach the series key and exact row position (``_sk``, ``_pos``)."""
-    return O.with_position(df, keys, order, bucket_width)
+    return O.with_position(df, keys, order)
 
 
 def rolling_stats(positioned: DataFrame, specs: Mapping[str, tuple[str, str | Column]],
@@ -170,16 +171,46 @@ def trailing_windows(events: DataFrame, end: str, hours: float = 6.0, step_minut
 
 def window_summary(rows: DataFrame, windows: DataFrame, ts: str, id_col: str, value: str,
                    window_cols: Sequence[str], keys: Sequence[str] = (), start: str = "win_start",
-                   end: str = "win_end", bucket_seconds: int = 3600,
-                   windows_are_small: bool = False) -> DataFrame:
+                   end: str = "win_end", bucket_seconds: int = 3600) -> DataFrame:
     """E7 (with D2): per window the row count, min/mean/max of ``value`` and the id
-    range of the rows inside; an empty window gives ``n_rows = 0`` and NULLs."""
-    r = rows.select(*keys, F.col(ts).alias("_ts"), F.col(id_col).alias("_id"), F.col(value).alias("_v"))
-    j = range_join(r, windows, "_ts", start, end, keys=keys, how="window_left",
-                   bucket_seconds=bucket_seconds, windows_are_small=windows_are_small)
-    return j.groupBy(*window_cols).agg(
-        F.count("_id").alias("n_rows"), F.min("_v").alias("value_min"), F.avg("_v").alias("value_mean"),
-        F.max("_v").alias("value_max"), F.min("_id").alias("id_min"), F.max("_id").alias("id_max"))
+    range of the rows inside; an empty window gives ``n_rows = 0`` and NULLs. Equal
+    windows are one. Rows are summarised by (keys, time bucket) first; a window takes
+    the summaries of the buckets wholly inside it, and only the rows of its two edge
+    buckets one by one, so overlapping windows do not multiply the rows."""
+    wc = [*keys, *[c for c in (*window_cols, start, end) if c not in keys]]
+    windows = windows.select(*dict.fromkeys(wc)).distinct()
+    width = F.lit(bucket_seconds * 1_000_000)
+    bucket = lambda c: F.floor(epoch_us(F.col(c)) / width).cast("long")
+    r = rows.select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col(ts).alias("_ts"), F.col(id_col).alias("_id"),
+                    F.col(value).alias("_v")).filter(F.col("_ts").isNotNull()).withColumn("_rb", bucket("_ts"))
+    per = {"_n": F.count("_id"), "_lo": F.min("_v"), "_sum": F.sum("_v"), "_c": F.count("_v"), "_hi": F.max("_v"),
+           "_i0": F.min("_id"), "_i1": F.max("_id")}
+    whole = r.groupBy(*[f"_k_{k}" for k in keys], "_rb").agg(*[e.alias(n) for n, e in per.items()])
+    w = windows.withColumn("_first", bucket(start)).withColumn("_last", bucket(end)).filter(F.col(start) <= F.col(end))
+    inner = w.filter(F.col("_last") - F.col("_first") > 1).withColumn(
+        "_b", F.explode(F.sequence(F.col("_first") + 1, F.col("_last") - 1)))
+    edges = w.withColumn("_b", F.explode(F.array_distinct(F.array("_first", "_last"))))
+
+    def same(extra=F.lit(True)):
+        cond = (F.col("_b") == F.col("_rb")) & extra
+        for k in keys:
+            cond = cond & F.col(f"_k_{k}").eqNullSafe(F.col(k))
+        return cond
+
+    names = list(dict.fromkeys(wc))
+    from_whole = whole.join(inner, same()).select(*names, *per)
+    exact = (F.col("_ts") >= F.col(start)) & (F.col("_ts") <= F.col(end))
+    from_edges = r.join(edges, same(exact)).groupBy(*names).agg(*[e.alias(n) for n, e in per.items()])
+    found = from_whole.unionByName(from_edges).groupBy(*window_cols).agg(
+        F.sum("_n").alias("n_rows"), F.min("_lo").alias("value_min"),
+        F.try_divide(F.sum("_sum"), F.sum("_c")).alias("value_mean"), F.max("_hi").alias("value_max"),
+        F.min("_i0").alias("id_min"), F.max("_i1").alias("id_max"))
+    keep = windows.select(*window_cols).distinct()
+    out = keep.join(found.select(*[F.col(c).alias(f"_w_{c}") for c in window_cols], "n_rows", "value_min", "value_mean",
+                                 "value_max", "id_min", "id_max"),
+                    reduce(and_, [F.col(c).eqNullSafe(F.col(f"_w_{c}")) for c in window_cols]), "left")
+    return out.select(*window_cols, F.coalesce("n_rows", F.lit(0)).alias("n_rows"), "value_min", "value_mean", "value_max",
+                      "id_min", "id_max")
 
 
 def top_event_detail(ranked_events: DataFrame, rows: DataFrame, ts: str,

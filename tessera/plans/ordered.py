@@ -4,13 +4,12 @@ A plain ``Window.partitionBy(key).orderBy(ts)`` puts every row of a key in one
 task, and a keyless ``Window.orderBy(ts)`` puts the whole table in one task
 (``Exchange SinglePartition``). Here no group spans a whole key:
 
-1. :func:`with_position` gives each row its exact dense 0-based position in its
-   series. Rows are cut into (key, time bucket) groups, ``floor(t / width)`` of
-   the first order column, so a hot key is spread over all its buckets. Row
-   numbers inside a bucket are shifted by the prefix sum of the row counts of
-   the key's earlier buckets (a small table: one row per non-empty bucket, built
-   with a map-side partial count). Every step is a deterministic function of the
-   data, so a recomputed task after an executor loss gives the same positions.
+1. :func:`with_position` sorts the rows by (keys, order) into ranges drawn from
+   the data, so a hot key, a dense hour or many rows of one time are split like
+   any others. The sorted rows are written once to the shared checkpoint folder
+   with their place in their range; the position in the series is the number of
+   rows in earlier ranges plus that place, less the series' first. The written
+   rows make every later step see one order, also after an executor loss.
 2. Frames of ``w`` rows (:func:`rolling`, :func:`lag`) run on
    ``(key, pos div chunk_rows)`` groups; the last ``w-1`` rows of each chunk are
    copied into the next chunk as a halo and dropped after the window.
@@ -24,9 +23,8 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from tessera.functions.time import epoch_us
+from tessera.session import broadcast_if_small, staged
 
 SK = "_sk"          # struct of the series keys; struct equality is null-safe
 POS = "_pos"        # dense 0-based position within the series
@@ -39,34 +37,31 @@ def series_key(keys: Sequence[str]) -> Column:
     return F.struct(F.lit(0).alias("_all"))
 
 
-DEFAULT_BUCKET_SECONDS = 3600
-
-
-def _bucket(df: DataFrame, col: str, width: float | None) -> Column:
-    dtype = df.schema[col].dataType
-    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType, T.DateType)):
-        seconds = width or DEFAULT_BUCKET_SECONDS
-        return F.floor(epoch_us(F.col(col)) / F.lit(int(seconds * 1_000_000))).cast("long")
-    return F.floor(F.col(col).cast("double") / F.lit(float(width or 1.0))).cast("long")
-
-
-def with_position(df: DataFrame, keys: Sequence[str], order: Sequence[str],
-                  bucket_width: float | None = None, bucket: Column | None = None) -> DataFrame:
+def with_position(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Add ``_sk`` (series key struct) and ``_pos`` (exact dense position in the
-    series by ``order``; make ``order`` unique within a key for determinism).
-    ``bucket_width`` is in seconds for a timestamp first order column (default one
-    hour), else in the column's units (default 1). ``bucket`` overrides the bucket
-    expression; it must be non-decreasing along ``order``."""
-    tb = bucket if bucket is not None else _bucket(df, order[0], bucket_width)
-    base = df.withColumn(SK, series_key(keys)).withColumn("_tb", tb)
-    local = base.withColumn(
-        "_lpos", F.row_number().over(Window.partitionBy(SK, "_tb").orderBy(*order)) - F.lit(1))
-    counts = base.groupBy(SK, "_tb").agg(F.count(F.lit(1)).alias("_cnt"))
-    before = Window.partitionBy(SK).orderBy("_tb").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(SK, "_tb", F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"))
-    return (local.join(offsets, [SK, "_tb"])
-            .select(*[F.col(c) for c in df.columns], F.col(SK),
-                    (F.col("_off") + F.col("_lpos")).cast("long").alias(POS)))
+    series by ``order``, missing values last; make ``order`` unique within a key for
+    determinism). No row is lost. The rows are sorted and staged here (a job runs)."""
+    base = df.withColumn(SK, series_key(keys))
+    by = [F.col(c).asc_nulls_last() for c in [*keys, *order]]
+    ranged = base.repartitionByRange(*by).sortWithinPartitions(*by)
+    # (partition << 33) + row in the partition
+    ranged = staged(ranged.withColumn(POS, F.monotonically_increasing_id()), "positions")
+    part = F.shiftright(POS, 33)
+    # one row for each range: bounded by the number of partitions
+    sizes = sorted(ranged.groupBy(part.alias("p")).count().collect(), key=lambda r: r["p"])
+    offsets, total = [], 0
+    for r in sizes:
+        offsets.append((r["p"], total - (r["p"] << 33)))
+        total += r["count"]
+    shift = F.broadcast(df.sparkSession.createDataFrame(offsets, "_part bigint, _shift bigint"))
+    rank = ranged.join(shift, part == F.col("_part")).withColumn(POS, F.col(POS) + F.col("_shift")).drop("_part", "_shift")
+    first = ranged.groupBy(SK).agg(F.min(POS).alias("_first"))
+    first = first.join(shift, F.shiftright("_first", 33) == F.col("_part")).select(
+        F.col(SK).alias("_series"), (F.col("_first") + F.col("_shift")).alias("_start"))
+    if not keys:
+        return rank
+    return (rank.join(broadcast_if_small(first), F.col(SK) == F.col("_series"))
+            .withColumn(POS, F.col(POS) - F.col("_start")).drop("_series", "_start"))
 
 
 def _chunk_of(chunk_rows: int) -> Column:

@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tessera.functions.nulls import normalize_missing
+
 TABLES = (
     "region nation customer supplier part orders lineitem events documents "
     "embeddings pages benchmark labels conversations"
@@ -18,19 +20,20 @@ TABLES = (
 def read_table(spark: SparkSession, path: str, schema: T.StructType | str | None = None,
                fmt: str | None = None) -> DataFrame:
     """A1: read a table. CSV is read with a header and an explicit schema (no
-    inference pass over the data); parquet carries its own schema."""
+    inference pass over the data); parquet carries its own schema. NaN is missing:
+    it becomes NULL in every floating-point column."""
     fmt = fmt or ("csv" if path.endswith(".csv") else "parquet")
     reader = spark.read
     if schema is not None:
         reader = reader.schema(schema)
     if fmt == "csv":
-        return reader.option("header", True).option("mode", "PERMISSIVE").csv(path)
-    return reader.format(fmt).load(path)
+        return normalize_missing(reader.option("header", True).option("mode", "PERMISSIVE").csv(path))
+    return normalize_missing(reader.format(fmt).load(path))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One of the driver tables ``{sf_dir}/{name}.parquet``."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """One of the driver tables ``{sf_dir}/{name}.parquet``; NaN becomes NULL."""
+    return read_table(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def parse_ts(df: DataFrame, col: str, fmt: str | None = None) -> DataFrame:
@@ -39,8 +42,16 @@ def parse_ts(df: DataFrame, col: str, fmt: str | None = None) -> DataFrame:
     dtype = df.schema[col].dataType
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType, T.DateType)):
         return df.withColumn(col, F.col(col).cast("timestamp_ntz"))
-    parsed = F.try_to_timestamp(F.col(col), F.lit(fmt)) if fmt else F.try_to_timestamp(F.col(col))
-    return df.withColumn(col, parsed.cast("timestamp_ntz"))
+    text = F.col(col).cast("string")
+    if fmt:
+        # read as an instant of UTC and written down again without a zone, so that the
+        # session's zone and its clock changes have no say
+        instant = F.unix_micros(F.try_to_timestamp(F.concat(text, F.lit("Z")), F.lit(f"{fmt}X")))
+        seconds = (instant.cast("decimal(20,0)") / F.lit(1_000_000)).cast("decimal(18,6)")
+        parsed = F.expr("timestamp_ntz'1970-01-01 00:00:00'") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds)
+    else:
+        parsed = text.try_cast("timestamp_ntz")
+    return df.withColumn(col, parsed)
 
 
 def prediction_frame(df: DataFrame, id_col: str, value: Column | str, value_name: str) -> DataFrame:

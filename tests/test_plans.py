@@ -22,7 +22,7 @@ def _frame(spark, n=400, keys=3, seed=1):
 
 def test_position_equals_row_number(spark):
     df = _frame(spark)
-    pos = O.with_position(df, ["k"], ["ts", "id"], bucket_width=600)
+    pos = O.with_position(df, ["k"], ["ts", "id"])
     ref = df.withColumn("rn", F.row_number().over(Window.partitionBy("k").orderBy("ts", "id")) - 1)
     got = {r.id: r[O.POS] for r in pos.collect()}
     assert got == {r.id: r.rn for r in ref.collect()}
@@ -30,7 +30,7 @@ def test_position_equals_row_number(spark):
 
 def test_keyless_position(spark):
     df = _frame(spark)
-    pos = O.with_position(df, [], ["ts", "id"], bucket_width=300)
+    pos = O.with_position(df, [], ["ts", "id"])
     ref = df.withColumn("rn", F.row_number().over(Window.orderBy("ts", "id")) - 1)
     assert {r.id: r[O.POS] for r in pos.collect()} == {r.id: r.rn for r in ref.collect()}
 
