@@ -9,6 +9,7 @@ import uuid
 from collections.abc import Iterator
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -76,6 +77,14 @@ def letters(token: str) -> str:
     return "".join(_LETTERS.findall(token.lower()))
 
 
+def row_slices(batches: Iterator[pa.RecordBatch], rows: int = 1_000) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of at most ``rows`` rows, so that few texts are Python
+    strings at a time."""
+    for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)
+
+
 def text_slices(texts: list[str], chars: int = 2_000_000) -> Iterator[list[str]]:
     """A batch's texts in runs of about ``chars`` characters (a longer text alone), for
     work that holds all tokens of a run."""
@@ -103,4 +112,4 @@ def spaced_pieces(text: str) -> list[str]:
 
 def single_white(text: str) -> bool:
     """Whether every run of white space is one space or line feed, inside the text."""
-    return len(text.split()) - 1 == text.count(" ") + text.count("\n")
+    return " ".join(text.split()) == text.replace("\n", " ")

@@ -25,13 +25,15 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import ID, TEXT, broadcast_if_small, id_and_text, staged
+from tessera.llm.common import ID, TEXT, broadcast_if_small, id_and_text, row_slices, staged
 from tessera.llm.components import connected_components
-from tessera.llm.shingles import WordHash, shingle_set
+from tessera.llm.shingles import shingle_set
 
 #: Shingles ordered by their exact frequency (the most frequent ones); the others count
 #: as rare. The order decides the cost of the join, not its result.
 ORDERED = 400_000
+#: Shingles a task holds before it sends them to the buckets.
+HELD = 2_500_000
 #: Shingles a counting bucket is meant to hold, and bits of a shingle kept in it.
 BUCKET_ITEMS, BITS = 1_500_000, 24
 
@@ -60,7 +62,7 @@ def frequent_shingles(source: DataFrame, k: int, most: int = ORDERED) -> tuple[n
     bits = max(4, math.ceil(math.log2(max(1, size / 6 / BUCKET_ITEMS))))
 
     def scatter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo, held, n = WordHash(), [], 0
+        held, n = [], 0
 
         def flush():
             keys = np.sort(_key(np.concatenate(held), bits))
@@ -72,11 +74,11 @@ def frequent_shingles(source: DataFrame, k: int, most: int = ORDERED) -> tuple[n
                 [pa.array(full), pa.array([_pack(low[ends[i]:ends[i + 1]]) for i in full], pa.binary())],
                 names=["bucket", "packed"])
 
-        for b in batches:
+        for b in row_slices(batches):
             for text in b.column(1).to_pylist():
-                held.append(shingle_set(text, k, memo))
+                held.append(shingle_set(text, k))
                 n += len(held[-1])
-                if n > 6_000_000:
+                if n > HELD:
                     yield flush()
                     held, n = [], 0
         if n:
@@ -142,12 +144,11 @@ def _fronts(source: DataFrame, k: int, num: int, den: int) -> DataFrame:
     shared = source.sparkSession.sparkContext.broadcast((keys, df))  # bounded by ORDERED
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = WordHash()
         often, dfs = shared.value
-        for b in batches:
+        for b in row_slices(batches):
             n, sig, front = [], [], []
             for text in b.column(1).to_pylist():
-                s = shingle_set(text, k, memo)
+                s = shingle_set(text, k)
                 n.append(len(s))
                 sig.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest())
                 if not len(s):
@@ -211,13 +212,12 @@ def _overlaps(pairs: DataFrame, source: DataFrame, k: int) -> DataFrame:
     id_type = source.schema[ID].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = WordHash()
-        for b in batches:
+        for b in row_slices(batches):
             rows, known, set_a = [], None, None
             for ta, tb in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True):
                 if ta != known:
-                    known, set_a = ta, shingle_set(ta, k, memo)
-                set_b = shingle_set(tb, k, memo)
+                    known, set_a = ta, shingle_set(ta, k)
+                set_b = shingle_set(tb, k)
                 rows.append((len(set_a), len(set_b), len(np.intersect1d(set_a, set_b, assume_unique=True))))
             cols = [pa.array([r[i] for r in rows], pa.int32()) for i in range(3)]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *cols], names=["a", "b", "na", "nb", "both"])

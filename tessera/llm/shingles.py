@@ -5,35 +5,28 @@ from __future__ import annotations
 import numpy as np
 import xxhash
 
-MEMO_ENTRIES = 500_000
-_ODD = np.uint64(0x9E3779B97F4A7C15)
-_MIX_A, _MIX_B = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
+_ODD, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xFF51AFD7ED558CCD)
+_SHIFT, _LAST = np.uint64(29), np.uint64(32)
 
 
-class WordHash(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > MEMO_ENTRIES:
-            self.clear()
-        self[word] = h = xxhash.xxh3_64_intdigest(word)
-        return h
+def distinct_sorted(x: np.ndarray) -> np.ndarray:
+    x = np.sort(x)
+    return x[np.concatenate([[True], x[1:] != x[:-1]])] if len(x) else x
 
 
-def _mixed(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(33))) * _MIX_A
-    x = (x ^ (x >> np.uint64(33))) * _MIX_B
-    return x ^ (x >> np.uint64(33))
-
-
-def shingle_set(text: str | None, k: int, memo: WordHash) -> np.ndarray:
+def shingle_set(text: str | None, k: int) -> np.ndarray:
     """Sorted hashes of the distinct ``k``-word shingles of a text. Words are runs of
     other than ASCII white space, with A-Z lower-cased; a text of fewer words, but not
     none, is one shingle."""
     words = text.encode("utf-8", "surrogatepass").lower().split() if text else []
     if not words:
         return np.zeros(0, np.uint64)
-    h = np.fromiter(map(memo.__getitem__, words), np.uint64, count=len(words))
+    h = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, count=len(words))
     m = min(k, len(words))
     acc = np.full(len(words) - m + 1, m, np.uint64)
     for j in range(m):
-        acc = _mixed(acc * _ODD + h[j:len(words) - m + 1 + j])
-    return np.unique(acc)
+        acc = acc * _ODD + h[j:len(words) - m + 1 + j]
+        acc ^= acc >> _SHIFT
+    acc *= _MIX
+    acc ^= acc >> _LAST
+    return distinct_sorted(acc)
