@@ -16,11 +16,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tessera.llm.common import ID, TEXT, id_and_text, letters
+from tessera.llm.common import ID, TEXT, id_and_text, letters, row_slices
 
 #: Bounds of the sample the classifiers are fitted on.
-MAX_POSITIVE, MAX_UNLABELLED = 3_000, 9_000
+MAX_POSITIVE, MAX_UNLABELLED = 2_000, 6_000
 BUCKETS = 1 << 20
 MIN_DOCS = 4
 FEATURES = 400
@@ -166,14 +167,15 @@ def fit_toxicity(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id"
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = _Features()
-        for b in batches:
+        for b in row_slices(batches):
             found = [sorted(_present(t, memo)) for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found, pa.list_(pa.int32()))], names=["y", "f"])
 
     chosen = (texts.join(F.broadcast(ids), ID).select("y", TEXT)  # ids: bounded above
               .mapInArrow(features, "y int, f array<int>").toArrow())
     y = chosen.column("y").to_numpy()
-    docs = [np.asarray(f, dtype=np.int64) for f in chosen.column("f").to_pylist()]
+    lists = chosen.column("f").combine_chunks()
+    docs = np.split(lists.values.to_numpy(), lists.offsets.to_numpy()[1:-1]) if len(lists) else []
     positive = [d for d, k in zip(docs, y, strict=True) if k == 1]
     unlabelled = [d for d, k in zip(docs, y, strict=True) if k == 0]
     if not positive or not unlabelled:
@@ -196,21 +198,21 @@ def score_toxicity(df: DataFrame, model: NonNegativePU | None, id_col: str = "do
     alone. A null or empty text gets the score of a text without known words; without a
     model every score is 0. The model is bounded by ``BUCKETS`` weights."""
     source = id_and_text(df, id_col, text_col)
-    id_type = source.schema[ID].dataType.simpleString()
+    schema = T.StructType([T.StructField(id_col, source.schema[ID].dataType), T.StructField("score", T.DoubleType())])
     shared = df.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         w = m.weights if m else {}
         memo = _Weights(w)
-        for b in batches:
+        for b in row_slices(batches):
             texts = b.column(1).to_pylist()
             sums = [sum(map(w.__getitem__, sorted(set(chain.from_iterable(map(memo.__getitem__, set(t.split())))))))
                     for t in texts] if m else []
             s = _sigmoid(np.array(sums) + m.bias) if m else np.zeros(len(texts))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(s, pa.float64())], names=[id_col, "score"])
 
-    scored = source.mapInArrow(run, f"`{id_col}` {id_type}, score double")
+    scored = source.mapInArrow(run, schema)
     return scored.withColumn("predicted", (F.col("score") >= F.lit(threshold)).cast("int"))
 
 
