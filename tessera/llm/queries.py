@@ -136,3 +136,25 @@ SELECT conv_id, count(*) AS n_turns,
        CAST(sum(f) AS BIGINT) AS formatted_chars
 FROM e GROUP BY conv_id
 """
+
+_NOTICES = ", ".join("('{}', '{}')".format(k, v.replace("'", "''")) for k, v in license.NOTICES.items())
+ORACLE["op7_license_scan"] = rf"""
+WITH t AS (
+  SELECT license, list_filter(string_split_regex(lower(text), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w
+  FROM (VALUES {_NOTICES}) AS v(license, text)),
+tg AS (SELECT DISTINCT license, array_to_string(w[s:s + 4], ' ') AS g FROM (SELECT license, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS s FROM t)),
+ts AS (SELECT license, count(*) AS n, greatest(1, count(*) // 4) AS stride,
+              CASE WHEN count(*) = 1 THEN 1 ELSE count(*) + greatest(1, count(*) // 4) END AS wide FROM tg GROUP BY license),
+d AS (
+  SELECT DISTINCT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM documents),
+dg AS (SELECT doc_id, s - 1 AS pos, greatest(len(w) - 4, 1) AS m, array_to_string(w[s:s + 4], ' ') AS g
+       FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS s FROM d WHERE len(w) > 0)),
+hit AS (
+  SELECT doc_id, license, g, n, m, wide, unnest(range(greatest(0, CAST(ceil((pos - wide + 1) / stride) AS BIGINT)), pos // stride + 1)) * stride AS start
+  FROM dg JOIN tg USING (g) JOIN ts USING (license)),
+win AS (SELECT doc_id, license, start, count(DISTINCT g) / any_value(n) AS containment, any_value(least(wide, m - start)) AS k
+        FROM hit GROUP BY doc_id, license, start)
+SELECT doc_id, license, start AS first_word, k + 4 AS n_words, containment FROM win WHERE containment >= 0.8
+QUALIFY row_number() OVER (PARTITION BY doc_id, license ORDER BY containment DESC, start) = 1
+"""
