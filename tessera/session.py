@@ -47,13 +47,6 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return folder
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint (written to the shared checkpoint folder, survives
-    executor loss); never a local checkpoint."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a table into the shared checkpoint folder and read it back:
     cuts lineage, survives executor loss, and gives every later reader the same
