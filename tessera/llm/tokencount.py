@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.byte_bpe import byte_bpe, load_tokenizer
-from tessera.llm.common import ID, TEXT, id_and_text, spaced_pieces
+from tessera.llm.common import ID, TEXT, id_and_text, row_slices, spaced_pieces
 
 MEMO_ENTRIES = 600_000
 
@@ -82,7 +82,7 @@ def count_tokens(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count = _counter(path)
-        for b in batches:
+        for b in row_slices(batches):
             n = list(map(count, b.column(2).to_pylist()))
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(n, pa.int64())],
                                              names=[id_col, "n_bytes", "n_tokens"])
