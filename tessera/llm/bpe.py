@@ -2,9 +2,9 @@
 
 Texts are split into words; every distinct word of the corpus is encoded once, in one
 table; its ids are joined back to the words' positions. Positions need not pass through
-a shuffle one by one: documents are dealt into blocks of bounded size, a block's words
-are numbered, the table is joined with the (block, word) rows, and each block puts the
-ids in its words' places. Decoding joins ids with the pieces of the vocabulary.
+a shuffle one by one: documents are dealt into blocks of bounded size, the
+table takes each block's distinct words, and the block puts their ids in their places.
+Decoding joins ids with the pieces of the vocabulary.
 """
 
 from __future__ import annotations
@@ -21,168 +21,235 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.llm.byte_bpe import AGREED, byte_bpe, piece_bytes
-from tessera.llm.common import ID, TEXT, id_and_text, ship_package, single_white, spaced_pieces
+from tessera.llm.common import ID, TEXT, id_and_text, row_slices, single_white, spaced_pieces
 
 #: Text bytes of a block (a block holds whole documents, so a longer one is its own).
 BLOCK_BYTES = 24 << 20
 #: Text bytes a task holds before it sends what it has packed.
-HELD_BYTES = 48 << 20
+HELD_BYTES = 32 << 20
+#: Bytes of packed pieces that a block looks up at a time.
+RUN_BYTES = 2 << 20
 #: Marks that are a pre-token of their own after a letter or digit.
 TAILS = frozenset(",.;:!?")
 
 
-def _pieces(text: str) -> list[list[str]]:
-    """Lines of pieces; between lines stands the word "\\n". Only a text whose white
-    space is all single characters has more than one line here."""
-    if single_white(text):
-        return [line.split(" ") for line in text.split("\n")]
-    return [spaced_pieces(text)]
-
-
-def _words_of(piece: str, spaced: bool) -> tuple[str, ...]:
-    """The one or two words of a piece, with the space before it."""
-    word = " " + piece if spaced else piece
-    if len(piece) > 1 and piece[-1] in TAILS and piece[-2].isalnum() and piece[-2] < AGREED:
-        return word[:-1], word[-1]
-    return (word,)
-
-
-def _distinct_words(texts) -> list[str]:
-    first: set[str] = set()
-    spaced: set[str] = set()
-    many = False
-    for text in texts:
-        lines = _pieces(text) if text else []
-        many |= len(lines) > 1
-        for line in lines:
-            first.add(line[0])
-            spaced.update(line[1:])
-    words = {w for p in first for w in _words_of(p, False)} | {w for p in spaced for w in _words_of(p, True)}
-    if many:
-        words.add("\n")
-    return sorted(words)
+def _before_tail() -> str:
+    """Pattern of a mark of ``TAILS`` after a letter or digit, at the end."""
+    spans: list[list[int]] = []
+    for c in range(ord(AGREED)):
+        if chr(c).isalnum():
+            if spans and spans[-1][1] == c - 1:
+                spans[-1][1] = c
+            else:
+                spans.append([c, c])
+    return "[" + "".join(f"\\x{{{lo:x}}}-\\x{{{hi:x}}}" for lo, hi in spans) + "][,.;:!?]$"
+
+
+_TAIL = _before_tail()
+
+
+def _words_of(pieces: pa.StringArray) -> tuple[pa.StringArray, pa.StringArray]:
+    """Each piece as its word and the mark after it (empty if it has none)."""
+    tailed = pc.match_substring_regex(pieces, _TAIL)
+    return (pc.if_else(tailed, pc.utf8_slice_codeunits(pieces, 0, -1), pieces),
+            pc.if_else(tailed, pc.utf8_slice_codeunits(pieces, -1), ""))
+
+
+def _numbered(lists: pa.ListArray) -> tuple[np.ndarray, np.ndarray, pa.StringArray]:
+    """Where each document starts, its positions' piece numbers, and the pieces (with
+    the space before them), for documents cut into lists."""
+    starts = lists.offsets.to_numpy()
+    coded = lists.flatten().dictionary_encode()
+    found = coded.dictionary
+    codes = coded.indices.to_numpy().astype(np.int64)
+    bare = np.zeros(len(codes) + 1, np.int64)  # 1: no space before it
+    bare[starts[:-1]] = 1
+    feed = pc.index(found, "\n").as_py()
+    if feed >= 0:
+        feeds = np.flatnonzero(codes == feed)
+        bare[feeds] = bare[feeds + 1] = 1
+    keys = codes * 2 + bare[:-1]
+    used = np.flatnonzero(np.bincount(keys, minlength=2 * len(found)))
+    place = np.zeros(2 * len(found), "<u4")
+    place[used] = np.arange(len(used), dtype="<u4")
+    pieces = found.take(pa.array(used >> 1))
+    spaced = pc.binary_join_element_wise(" ", pieces, "")
+    return starts, place[keys], pc.if_else(pa.array(used % 2 == 1), pieces, spaced)
+
+
+def _cut(texts: list[str]) -> Iterator[tuple[list[int], pa.ListArray]]:
+    """Documents (by their place in ``texts``) cut into pieces, in at most two groups.
+    Where all white space is single characters, texts are cut at spaces and a line feed
+    is a piece of its own; others are cut only where that is sure to be right."""
+    plain = [i for i, t in enumerate(texts) if single_white(t)]
+    if plain:
+        yield plain, pc.split_pattern(pa.array([texts[i].replace("\n", " \n ") for i in plain], pa.string()), " ")
+    other = sorted({*range(len(texts))}.difference(plain))
+    if other:
+        yield other, pa.array([spaced_pieces(texts[i]) for i in other], pa.list_(pa.string()))
+
+
+_PACKED = ("starts", "codes", "piece_sizes", "pieces")
 
 
 def _pack(source: DataFrame, blocks: int) -> DataFrame:
-    """``(block, ids, sizes, texts)``: documents of one task and block, compressed."""
+    """``(block, ids, ...)``: documents of one task and block as numbers of distinct
+    pieces, compressed."""
     id_type = source.schema[ID].dataType
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, tuple[list, list]] = {}
-        size = 0
+        size, arrow_id = 0, None
 
         def flush():
             for block in sorted(held):
-                ids, texts = held[block]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([block], pa.int32()), pa.array([ids], pa.list_(arrow_id)),
-                     pa.array([[len(t) for t in texts]], pa.list_(pa.int32())),
-                     pa.array([zstandard.compress(b"".join(texts), 3)], pa.binary())],
-                    names=["block", "ids", "sizes", "texts"])
-
-        arrow_id = None
-        for b in batches:
+                ids, texts = held.pop(block)
+                for at, lists in _cut(texts):
+                    starts, codes, pieces = _numbered(lists)
+                    planes = np.ascontiguousarray(codes.view(np.uint8).reshape(-1, 4).T)
+                    sizes, data = _packed_strings(pieces)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([block], pa.int32()), pa.array([[ids[i] for i in at]], pa.list_(arrow_id)),
+                         pa.array([zstandard.compress(starts.astype("<u4").tobytes(), 3)], pa.binary()),
+                         pa.array([zstandard.compress(planes.tobytes(), 3)], pa.binary()),
+                         pa.array([sizes], pa.binary()), pa.array([data], pa.binary())], names=["block", "ids", *_PACKED])
+
+        for b in row_slices(batches):
             arrow_id = b.column(1).type
             for block, key, text in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 ids, texts = held.setdefault(block, ([], []))
-                data = text.encode()
                 ids.append(key)
-                texts.append(data)
-                size += len(data)
-                if size > HELD_BYTES:
-                    yield from flush()
-                    held, size = {}, 0
+                texts.append(text)
+                size += len(text)
+            if size > HELD_BYTES:
+                yield from flush()
+                size = 0
         yield from flush()
 
     schema = T.StructType([T.StructField("block", T.IntegerType()), T.StructField("ids", T.ArrayType(id_type)),
-                           T.StructField("sizes", T.ArrayType(T.IntegerType())), T.StructField("texts", T.BinaryType())])
+                           *[T.StructField(c, T.BinaryType()) for c in _PACKED]])
     rows = source.select(F.pmod(F.xxhash64(ID, TEXT), F.lit(blocks)).cast("int").alias("block"), ID, TEXT)
     return rows.mapInArrow(run, schema)
 
 
-def _unpacked(sizes: list[int], data: bytes) -> Iterator[str]:
-    raw, at = zstandard.decompress(data), 0
-    for n in sizes:
-        yield raw[at:at + n].decode()
-        at += n
-
-
-def _numbered_words(packed: DataFrame) -> DataFrame:
-    """``(block, code, word)``: every distinct word of a block and its place in order."""
+def _block_words(packed: DataFrame) -> DataFrame:
+    """``(block, word)``: every distinct word of every block."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, rows = None, []
+        now, found = None, []
 
         def done():
-            words = _distinct_words(t for sizes, data in rows for t in _unpacked(sizes, data))
-            for at in range(0, len(words), 50_000):
-                part = words[at:at + 50_000]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(part), now, np.int32)), pa.array(np.arange(at, at + len(part), dtype=np.int32)),
-                     pa.array(part, pa.string())], names=["block", "code", "word"])
+            words = pc.unique(pa.chunked_array([*found, pa.array([], pa.string())])).drop_null()
+            words = words.take(pc.sort_indices(words))
+            for at in range(0, len(words), 20_000):
+                part = words.slice(at, 20_000)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), now, np.int32)), part], names=["block", "word"])
 
         for b in batches:
-            for block, _, sizes, data in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            for block, sizes, data in zip(*(b.column(c).to_pylist() for c in ("block", "piece_sizes", "pieces")), strict=True):
                 if block != now:
-                    if rows:
-                        yield from done()
-                    now, rows = block, []
-                rows.append((sizes, data))
-        if rows:
-            yield from done()
+                    yield from done()
+                    now, found = block, []
+                found += [pc.unique(w) for w in _words_of(_unpacked_strings(sizes, data))]
+        yield from done()
 
-    return packed.sortWithinPartitions("block").mapInArrow(run, "block int, code int, word string")
+    # all columns, so that this and the cogroup read one and the same exchange
+    return packed.sortWithinPartitions("block").mapInArrow(run, "block int, word string")
 
 
-def word_table(words: DataFrame, path: str) -> DataFrame:
-    """``(word, word_ids)``: every distinct word, encoded once."""
+def _packed_strings(values: pa.Array) -> tuple[bytes, bytes]:
+    """Strings or byte strings as their lengths and their concatenation, compressed."""
+    sizes = pc.binary_length(values).to_numpy(zero_copy_only=False).astype("<u4")
+    whole = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values.cast(pa.binary())), b"")
+    return zstandard.compress(sizes.tobytes(), 3), zstandard.compress(whole[0].as_py(), 3)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = byte_bpe(path)
-        for b in batches:
-            ids = [np.asarray(bpe.encode(w), "<u4").tobytes() for w in b.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(ids, pa.binary())], names=["word", "word_ids"])
 
-    return words.select("word").distinct().mapInArrow(run, "word string, word_ids binary")
+def _unpacked_strings(sizes: bytes, data: bytes, kind: pa.DataType | None = None) -> pa.Array:
+    ends = np.cumsum(np.frombuffer(zstandard.decompress(sizes), "<u4"), dtype=np.int64)
+    offsets = np.concatenate([[0], ends]).astype(np.int32)
+    buffers = [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(zstandard.decompress(data))]
+    return pa.Array.from_buffers(kind or pa.string(), len(ends), buffers)
 
 
-class _Placed(dict):
-    """Ids (as bytes) of each piece of a block, from its numbered words."""
+_ENCODED = ("word_sizes", "words", "id_sizes", "ids")
 
-    def __init__(self, ids_of: dict[str, bytes], spaced: bool):
-        super().__init__()
-        self.ids_of, self.spaced = ids_of, spaced
 
-    def __missing__(self, piece: str) -> bytes:
-        self[piece] = found = b"".join(self.ids_of[w] for w in _words_of(piece, self.spaced))
-        return found
+def _encoded_words(words: DataFrame, path: str) -> DataFrame:
+    """The distinct-word table with its places: rows come sorted by word, so that every
+    distinct word is encoded once, whichever blocks it stands in. The result goes back
+    by block, many words with their ids to a row, compressed."""
+    held_words = 150_000
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bpe = byte_bpe(path)
+        held: dict[int, tuple[list, list]] = {}
+        n, last, ids = 0, None, b""
+
+        def flush():
+            rows = [(block, *_packed_strings(pa.array(known, pa.string())), *_packed_strings(pa.array(found, pa.binary())))
+                    for block, (known, found) in sorted(held.items())]
+            cols = list(zip(*rows, strict=True))
+            return pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32()), *[pa.array(c, pa.binary()) for c in cols[1:]]],
+                                              names=["block", *_ENCODED])
+
+        for b in batches:
+            for block, word in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                if word != last:
+                    last, ids = word, np.asarray(bpe.encode(word), "<u4").tobytes()
+                known, found = held.setdefault(block, ([], []))
+                known.append(word)
+                found.append(ids)
+                n += 1
+            if n > held_words:
+                yield flush()
+                held, n = {}, 0
+        if n:
+            yield flush()
+
+    return (words.repartition("word").sortWithinPartitions("word", "block")
+            .mapInArrow(run, "block int, " + ", ".join(f"{c} binary" for c in _ENCODED)))
+
+
+def _runs(packed: pa.Table, most: int) -> Iterator[pa.Table]:
+    """Rows in runs of about ``most`` bytes of packed pieces."""
+    start, held = 0, 0
+    for i, n in enumerate(pc.binary_length(packed.column("pieces")).to_pylist()):
+        if i > start and held + n > most:
+            yield packed.slice(start, i - start)
+            start, held = i, 0
+        held += n
+    if start < packed.num_rows:
+        yield packed.slice(start)
 
 
 def _place(packed: pa.Table, coded: pa.Table, id_col: str) -> pa.Table:
-    groups = list(zip(packed.column("ids").to_pylist(), packed.column("sizes").to_pylist(),
-                      packed.column("texts").to_pylist(), strict=True))
-    words = _distinct_words(t for _, sizes, data in groups for t in _unpacked(sizes, data))
-    ids_of = {words[c]: i for c, i in zip(coded.column("code").to_pylist(), coded.column("word_ids").to_pylist(), strict=True)}
-    first, spaced, feed = _Placed(ids_of, False), _Placed(ids_of, True), ids_of.get("\n", b"")
     id_type = packed.schema.field("ids").type.value_type
-    batches, keys, found, size = [], [], [], 0
-
-    def batch():
-        offsets = np.concatenate([[0], np.cumsum([len(f) // 4 for f in found])]).astype(np.int32)
-        values = pa.array(np.frombuffer(b"".join(found), "<u4").astype(np.int32))
-        return pa.RecordBatch.from_arrays([pa.array(keys, id_type), pa.ListArray.from_arrays(pa.array(offsets), values)],
-                                          names=[id_col, "ids"])
-
-    for ids, sizes, data in groups:
-        for key, text in zip(ids, _unpacked(sizes, data), strict=True):
-            lines = [first[line[0]] + b"".join(map(spaced.__getitem__, line[1:])) for line in _pieces(text)] if text else []
-            keys.append(key)
-            found.append(feed.join(lines))
-            size += len(found[-1])
-            if size > 4 << 20:
-                batches.append(batch())
-                keys, found, size = [], [], 0
-    batches.append(batch())
+    batches = [pa.RecordBatch.from_arrays([pa.array([], id_type), pa.array([], pa.list_(pa.int32()))], names=[id_col, "ids"])]
+    if not packed.num_rows:
+        return pa.Table.from_batches(batches)
+    rows = list(zip(*(coded.column(c).to_pylist() for c in _ENCODED), strict=True))
+    words = pa.concat_arrays([_unpacked_strings(r[0], r[1]) for r in rows] + [pa.array([""])])
+    ids = pa.concat_arrays([_unpacked_strings(r[2], r[3], pa.binary()) for r in rows] + [pa.array([b""])])
+    # a few packed rows at a time: the table is looked up by a hash index made for each run
+    for run in _runs(packed, RUN_BYTES):
+        pieces = [_unpacked_strings(s, d) for s, d in zip(*(run.column(c).to_pylist() for c in ("piece_sizes", "pieces")), strict=True)]
+        parts = [ids.take(pc.index_in(w, value_set=words)) for w in _words_of(pa.concat_arrays(pieces))]
+        ids_of = pc.binary_join_element_wise(*parts, b"")
+        del parts
+        first = 0
+        for row, own in enumerate(pieces):
+            keys, starts, codes = (run.column(c)[row].as_py() for c in ("ids", "starts", "codes"))
+            planes = np.frombuffer(zstandard.decompress(codes), np.uint8).reshape(4, -1)
+            numbers = np.ascontiguousarray(planes.T).view("<u4").ravel()
+            placed = ids_of.slice(first, len(own)).take(pa.array(numbers))
+            first += len(own)
+            starts = np.frombuffer(zstandard.decompress(starts), "<u4")
+            _, ends, data = placed.buffers()
+            ends = np.frombuffer(ends, np.int32)[:len(placed) + 1][starts] // 4
+            values = pa.array(np.frombuffer(data, "<i4") if data else np.zeros(0, np.int32), pa.int32())
+            batches.append(pa.RecordBatch.from_arrays(
+                [pa.array(keys, id_type), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)], names=[id_col, "ids"]))
+    pa.default_memory_pool().release_unused()
     return pa.Table.from_batches(batches)
 
 
@@ -198,49 +265,23 @@ def encode(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
     size = source.agg(F.sum(F.octet_length(TEXT))).first()[0] or 0
     blocks = max(spark.sparkContext.defaultParallelism, math.ceil(size / BLOCK_BYTES))
     packed = _pack(source, blocks).repartition(blocks, "block")
-    words = _numbered_words(packed).repartition("word")
-    coded = words.join(word_table(words, path), "word").select("block", "code", "word_ids")
+    coded = _encoded_words(_block_words(packed), path)
     schema = T.StructType([T.StructField(id_col, df.schema[id_col].dataType), T.StructField("ids", T.ArrayType(T.IntegerType()))])
     return packed.groupBy("block").cogroup(coded.groupBy("block")).applyInArrow(
         lambda left, right: _place(left, right, id_col), schema)
 
 
 def decode(df: DataFrame, path: str, ids_col: str = "ids", text_col: str = "text") -> DataFrame:
-    """``df`` with ``ids_col`` replaced by ``text_col``: the pieces of its ids, joined by
-    id with the vocabulary (bounded: one piece an id) and put together in order; bytes
-    that are no UTF-8 become U+FFFD. Ids without a piece, and null ids, add nothing; a
-    null list gives a null text. A column named ``text_col`` is overwritten."""
-    ship_package(df.sparkSession)
+    """``df`` with ``ids_col`` replaced by ``text_col``: each id is joined with its piece
+    of the vocabulary (one constant table, bounded by the vocabulary and looked up by
+    id), pieces are put together in order, and bytes that are no UTF-8 become U+FFFD.
+    Ids without a piece, and null ids, add nothing; a null list gives a null text. A
+    column named ``text_col`` is overwritten. Built-in functions only: a byte of a piece
+    is the Latin-1 character of its number until the whole is put together."""
     kept = [c for c in df.columns if c not in (ids_col, text_col)]
-    schema = T.StructType([*[df.schema[c] for c in kept], T.StructField(text_col, T.StringType())])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = piece_bytes(path)
-        pieces = pa.array([p or b"" for p in known] + [b""], pa.binary())
-        for b in batches:
-            for part in _sliced(b, len(kept)):
-                lists = part.column(len(kept))
-                flat = np.nan_to_num(pc.fill_null(lists.flatten(), -1).to_numpy(zero_copy_only=False)).astype(np.int64)
-                at = pa.array(np.where((flat >= 0) & (flat < len(known)), flat, len(known)))
-                lengths = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
-                offsets = pa.array(np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32))
-                joined = pc.binary_join(pa.ListArray.from_arrays(offsets, pieces.take(at)), b"").to_pylist()
-                texts = [x.decode("utf-8", "replace") if ok else None
-                         for x, ok in zip(joined, lists.is_valid().to_pylist(), strict=True)]
-                yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(texts, pa.string())],
-                                                 names=[*kept, text_col])
-
-    return df.select(*[f"`{c}`" for c in kept], F.col(ids_col).cast("array<int>").alias(ids_col)).mapInArrow(run, schema)
-
-
-def _sliced(batch: pa.RecordBatch, col: int, most: int = 2_000_000) -> Iterator[pa.RecordBatch]:
-    """Parts of a batch with about ``most`` ids each (a longer row is its own part)."""
-    lengths = pc.fill_null(pc.list_value_length(batch.column(col)), 0).to_numpy(zero_copy_only=False)
-    start, held = 0, 0
-    for i, n in enumerate(lengths):
-        if i > start and held + n > most:
-            yield batch.slice(start, i - start)
-            start, held = i, 0
-        held += n
-    if start < batch.num_rows:
-        yield batch.slice(start)
+    between = "\u0100"
+    table = F.split(F.lit(between.join((p or b"").decode("latin-1") for p in piece_bytes(path))), between, -1)
+    ids = F.col(f"`{ids_col}`").cast("array<int>")
+    joined = F.array_join(F.transform(ids, lambda i: F.coalesce(F.get(table, i), F.lit(""))), "")
+    text = F.call_function("make_valid_utf8", F.encode(joined, "ISO-8859-1").cast("string"))
+    return df.select(*[f"`{c}`" for c in kept], text.alias(text_col))
