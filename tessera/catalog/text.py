@@ -10,6 +10,7 @@ from tessera.functions.replies import RISK_LABELS
 from tessera.functions.text import strip_accents
 from tessera.operators import batching as H10
 from tessera.operators import textfeatures as H
+from tessera.session import staged
 from tessera.sources.tables import table
 
 QUERIES: dict = {}
@@ -52,7 +53,7 @@ def _summary_sql(grams_sql: str) -> str:
 
 
 def _summary(terms: DataFrame) -> DataFrame:
-    d = terms.select("doc_id", F.col("terms").alias("g"))
+    d = staged(terms.select("doc_id", F.col("terms").alias("g")), "grams")  # else cut anew for each use
     return d.select("doc_id", F.size("g").alias("n_grams"), F.size(F.array_distinct("g")).alias("n_distinct"),
                     F.md5(F.array_join(F.array_sort(F.array_distinct("g")), "|")).alias("grams_md5"))
 
