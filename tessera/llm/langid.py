@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import ID, id_and_text, letters, ship_package, staged
+from tessera.llm.common import ID, id_and_text, letters, row_slices, ship_package, staged, text_slices
 
 UNDETERMINED = "und"
 #: Size of the model, whatever the size of the corpus: words and n-grams are counted
@@ -46,7 +46,7 @@ def word_counts(df: DataFrame, text_col: str, lang_col: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[str, Counter] = {}
-        for b in batches:
+        for b in row_slices(batches):
             for lang, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 counts.setdefault(lang, Counter()).update(text.split())
                 if sum(map(len, counts.values())) > FLUSH:
@@ -59,38 +59,72 @@ def word_counts(df: DataFrame, text_col: str, lang_col: str) -> DataFrame:
             .groupBy("lang", "word").agg(F.sum("n").alias("n")))
 
 
+def _grams(word: str, k: int) -> list[str]:
+    """Character n-grams; a blank marks both ends of a word for lengths over one."""
+    text = f" {word} " if k > 1 else word
+    return [text[i:i + k] for i in range(len(text) - k + 1)]
+
+
 def gram_counts(words: DataFrame) -> DataFrame:
-    """``(lang, gram, n)``: character n-grams of the counted words, weighted by count.
-    A blank marks both ends of a word for lengths over one."""
-    padded = F.concat(F.lit(" "), F.col("word"), F.lit(" "))
+    """``(lang, gram, n)``: character n-grams of the counted words, weighted by count."""
 
-    def of_length(k: int):
-        text = padded if k > 1 else F.col("word")
-        at = F.sequence(F.lit(1), F.greatest(F.char_length(text) - k + 1, F.lit(1)))
-        return F.transform(at, lambda i: F.substring(text, i, F.lit(k)))
+    def flush(counts: dict[str, Counter]) -> Iterator[pa.RecordBatch]:
+        for lang, c in counts.items():
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([lang] * len(c)), pa.array(list(c)), pa.array(list(c.values()), pa.int64())],
+                names=["lang", "gram", "n"])
 
-    exploded = words.select("lang", "n", F.explode(F.concat(*map(of_length, LENGTHS))).alias("gram"))
-    return exploded.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: dict[str, Counter] = {}
+        for b in batches:
+            for lang, word, n in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                c = counts.setdefault(lang, Counter())
+                for k in LENGTHS:
+                    for g in _grams(word, k):
+                        c[g] += n
+            if sum(map(len, counts.values())) > FLUSH:
+                yield from flush(counts)
+                counts = {}
+        yield from flush(counts)
+
+    return (words.select("lang", "word", "n").mapInArrow(run, "lang string, gram string, n bigint")
+            .groupBy("lang", "gram").agg(F.sum("n").alias("n")))
 
 
 class BackoffModel:
     """Log frequencies by language of known words and n-grams (bounded in size)."""
 
     def __init__(self, langs: list[str], words: dict[str, np.ndarray], grams: dict[str, np.ndarray]):
-        self.langs, self.words, self.grams = langs, words, grams
-
-    def word(self, w: str) -> np.ndarray:
-        """Log score of one word in every language; zeros if not even a character of
-        it is known."""
-        known = self.words.get(w)
-        if known is not None:
-            return known
-        for k in LENGTHS:
-            text = f" {w} " if k > 1 else w
-            found = [g for i in range(len(text) - k + 1) if (g := self.grams.get(text[i:i + k])) is not None]
-            if found:
-                return np.mean(found, axis=0)
-        return np.zeros(len(self.langs))
+        self.langs = langs
+        width = len(langs)
+        self.word_at = {w: i for i, w in enumerate(words)}
+        self.gram_at = {g: i for i, g in enumerate(grams)}
+        self.word_rows = np.array(list(words.values()), dtype=float).reshape(len(words), width)
+        self.gram_rows = np.array(list(grams.values()), dtype=float).reshape(len(grams), width)
+
+    def scores(self, words: list[str]) -> np.ndarray:
+        """Log score of each word in every language; zeros if not even a character of
+        it is known. An unseen word has the mean of its longest known n-grams."""
+        out = np.zeros((len(words), len(self.langs)))
+        seen = [(i, k) for i, w in enumerate(words) if (k := self.word_at.get(w)) is not None]
+        if seen:
+            at = np.array(seen)
+            out[at[:, 0]] = self.word_rows[at[:, 1]]
+        rows, flat, starts = [], [], []
+        for i, w in enumerate(words):
+            if w in self.word_at:
+                continue
+            for k in LENGTHS:
+                found = [g for x in _grams(w, k) if (g := self.gram_at.get(x)) is not None]
+                if found:
+                    rows.append(i)
+                    starts.append(len(flat))
+                    flat += found
+                    break
+        if rows:
+            sums = np.add.reduceat(self.gram_rows[flat], starts, axis=0)
+            out[rows] = sums / np.diff([*starts, len(flat)])[:, None]
+        return out
 
 
 def _log_frequencies(rows, key: str, langs: list[str], totals: dict[str, float]) -> dict[str, np.ndarray]:
@@ -137,34 +171,30 @@ def predict_language(df: DataFrame, model: BackoffModel, id_col: str = "doc_id",
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         width = len(m.langs)
-        table = np.zeros((1024, width + 1))  # last column: 1 for a token with letters
+        table = np.zeros((0, width + 1))  # last column: 1 for a token with letters
         row_of: dict[str, int] = {}
-        for b in batches:
+        for b in row_slices(batches):
             preds, scores = [], []
-            for text in b.column(1).to_pylist():
-                tokens = text.split()
-                try:
-                    at = list(map(row_of.__getitem__, tokens))
-                except KeyError:
-                    if len(row_of) + len(tokens) > MEMO_ENTRIES + 50_000:
-                        row_of.clear()
-                    for t in set(tokens):
-                        if t not in row_of:
-                            if len(row_of) >= len(table):
-                                table = np.vstack([table, np.zeros_like(table)])
-                            w, i = letters(t), len(row_of)
-                            table[i, :width] = m.word(w) if w else 0.0
-                            table[i, width] = bool(w)
-                            row_of[t] = i
-                    at = list(map(row_of.__getitem__, tokens))
-                total = table[at].sum(axis=0) if at else np.zeros(width + 1)
-                if not width or not total[width]:
-                    preds.append(UNDETERMINED)
-                    scores.append(0.0)
-                    continue
-                best = int(np.argmax(total[:width]))
-                preds.append(m.langs[best])
-                scores.append(1.0 / math.fsum(np.exp(np.clip(total[:width] - total[best], -700, 0))))
+            for part in text_slices(b.column(1).to_pylist()):
+                texts = [t.split() for t in part]
+                if len(row_of) > MEMO_ENTRIES:
+                    row_of, table = {}, table[:0]
+                new = sorted({t for tokens in texts for t in tokens}.difference(row_of))
+                if new:
+                    words = list(map(letters, new))
+                    rows = np.column_stack([m.scores(words), np.array([bool(w) for w in words], dtype=float)])
+                    row_of.update(zip(new, range(len(table), len(table) + len(new)), strict=True))
+                    table = np.concatenate([table, rows])
+                for tokens in texts:
+                    at = np.fromiter(map(row_of.__getitem__, tokens), np.intp, count=len(tokens))
+                    total = table.take(at, axis=0).sum(axis=0)
+                    if not width or not total[width]:
+                        preds.append(UNDETERMINED)
+                        scores.append(0.0)
+                        continue
+                    best = int(np.argmax(total[:width]))
+                    preds.append(m.langs[best])
+                    scores.append(1.0 / math.fsum(np.exp(np.clip(total[:width] - total[best], -700, 0))))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(preds, pa.string()), pa.array(scores, pa.float64())],
                                              names=[id_col, "lang_pred", "score"])
 
