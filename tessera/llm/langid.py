@@ -3,6 +3,12 @@
 A text is scored word by word: a known word adds its log frequency in every language;
 an unseen word falls back to its character n-grams, longest length first, and takes the
 first length of which the model knows any. Frequencies come from all learning rows.
+
+The model is two tables without a cap. With ``n`` the count of a word in a language, its
+log frequency is ``log(2n + 1)`` plus a base of the language, so that a word's row holds
+only the languages that know it. A model counted as small is gathered and sent to the
+tasks; a larger one is joined: documents are dealt into blocks, each block asks for its
+distinct words once (one row for a hot word), and the answers return by block.
 """
 
 from __future__ import annotations
@@ -10,18 +16,22 @@ from __future__ import annotations
 import math
 from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.common import ID, id_and_text, letters, row_slices, ship_package, staged, text_slices
 
 UNDETERMINED = "und"
-#: Size of the model, whatever the size of the corpus: words and n-grams are counted
-#: over all learning rows and the most frequent ones are its vocabulary.
-MAX_WORDS, MAX_GRAMS, MAX_LANGS = 150_000, 100_000, 1_000
+#: A model of at most so many words and n-grams, and numbers in all their rows, is
+#: gathered; a larger one is joined.
+SMALL_ROWS, SMALL_CELLS = 250_000, 4_000_000
+#: A block's characters, rows and numbers of its score table; unseen words of a bucket.
+BLOCK_CHARS, BLOCK_ROWS, CELLS, BUCKET = 24_000_000, 20_000, 4_000_000, 20_000
 LENGTHS = (4, 3, 2, 1)
 FLUSH = 300_000
 MEMO_ENTRIES = 300_000
@@ -92,7 +102,7 @@ def gram_counts(words: DataFrame) -> DataFrame:
 
 
 class BackoffModel:
-    """Log frequencies by language of known words and n-grams (bounded in size)."""
+    """Log frequencies by language of known words and n-grams, in memory."""
 
     def __init__(self, langs: list[str], words: dict[str, np.ndarray], grams: dict[str, np.ndarray]):
         self.langs = langs
@@ -127,46 +137,77 @@ class BackoffModel:
         return out
 
 
-def _log_frequencies(rows, key: str, langs: list[str], totals: dict[str, float]) -> dict[str, np.ndarray]:
-    at = {lang: i for i, lang in enumerate(langs)}
-    counts: dict[str, np.ndarray] = {}
-    for r in rows:
-        counts.setdefault(r[key], np.zeros(len(langs)))[at[r["lang"]]] = r["n"]
-    size = np.array([totals.get(lang, 0.0) for lang in langs])
-    return {k: np.log((c + 0.5) / (size + 0.5 * (len(counts) + 1))) for k, c in counts.items()}
+@dataclass
+class StagedModel:
+    """Tables ``(word | gram, langs, rows)``: for each word and n-gram the positions in
+    ``langs`` of the languages that know it and ``log(2n + 1)`` of its counts there;
+    ``word_base`` and ``gram_base`` by language complete the log frequencies."""
+
+    langs: list[str]
+    words: DataFrame
+    grams: DataFrame
+    n_words: int
+    n_grams: int
+    word_base: np.ndarray
+    gram_base: np.ndarray
+
+    def small(self) -> bool:
+        n = self.n_words + self.n_grams
+        return n <= SMALL_ROWS and n * len(self.langs) <= SMALL_CELLS
+
+    def gather(self) -> BackoffModel:
+        """The whole model in memory, for a small one."""
+        def rows(table: DataFrame, base: np.ndarray) -> dict[str, np.ndarray]:
+            t = table.toArrow()
+            return dict(zip(t.column(0).to_pylist(), _dense(t, len(self.langs)) + base, strict=True))
+        return BackoffModel(self.langs, rows(self.words, self.word_base), rows(self.grams, self.gram_base))
+
+
+def _dense(t: pa.Table, width: int) -> np.ndarray:
+    """The list columns ``langs`` and ``rows`` as one row of ``width`` numbers each."""
+    out = np.zeros((t.num_rows, width))
+    if t.num_rows:
+        langs, rows = t.column("langs").combine_chunks(), t.column("rows").combine_chunks()
+        lengths = langs.value_lengths().to_numpy(zero_copy_only=False)
+        out[np.repeat(np.arange(t.num_rows), lengths), langs.flatten().to_numpy()] = rows.flatten().to_numpy()
+    return out
+
+
+def fit_backoff(df: DataFrame, text_col: str = "text", lang_col: str = "lang") -> StagedModel:
+    """Learn from all rows of ``df`` with a text and a language: every language, word and
+    n-gram is kept. The driver receives one row for each language."""
+    counted = staged(word_counts(df, text_col, lang_col), "langid-words")
+    grams = staged(gram_counts(counted), "langid-grams")
 
+    def totals(counts: DataFrame) -> dict[str, int]:
+        return {r["lang"]: r["n"] for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
 
-def fit_backoff(df: DataFrame, text_col: str = "text", lang_col: str = "lang", max_words: int = MAX_WORDS,
-                max_grams: int = MAX_GRAMS) -> BackoffModel:
-    """Learn from all rows of ``df`` with a text and a language. The driver receives the
-    model only: the ``max_words`` and ``max_grams`` most frequent (ties by text), each
-    with at most ``MAX_LANGS`` languages' counts."""
-    counted = staged(word_counts(df, text_col, lang_col), "langid-words")
+    in_words, in_grams = totals(counted), totals(grams)
+    langs = sorted(in_words)
+    places = F.broadcast(df.sparkSession.createDataFrame([(x, i) for i, x in enumerate(langs)], "lang string, place int"))
 
-    def most_frequent(counts: DataFrame, key: str, bound: int):
-        top = counts.groupBy(key).agg(F.sum("n").alias("__all")).orderBy(F.desc("__all"), key).limit(bound)
-        return counts.join(F.broadcast(top.select(key)), key).collect()
+    def table(counts: DataFrame, key: str) -> DataFrame:
+        known = counts.join(places, "lang").groupBy(key).agg(F.collect_list(F.struct("place", F.log(2.0 * F.col("n") + 1.0).alias("row"))).alias("known"))
+        return staged(known.select(key, F.col("known.place").alias("langs"), F.col("known.row").alias("rows")), f"langid-{key}-rows")
 
-    totals = counted.groupBy("lang").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGS).collect()
-    langs = sorted(r["lang"] for r in totals)
-    counted = counted.filter(F.col("lang").isin(langs)) if langs else counted
-    grams = staged(gram_counts(counted), "langid-grams")
-    gram_totals = {r["lang"]: r["n"] for r in grams.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
-    return BackoffModel(
-        langs,
-        _log_frequencies(most_frequent(counted, "word", max_words), "word", langs, {r["lang"]: r["n"] for r in totals}),
-        _log_frequencies(most_frequent(grams, "gram", max_grams), "gram", langs, gram_totals))
+    def base(totals: dict[str, int], known: int) -> np.ndarray:
+        return np.log(0.5 / (np.array([totals.get(x, 0) for x in langs], dtype=float) + 0.5 * (known + 1)))
 
+    words, grams = table(counted, "word"), table(grams, "gram")
+    n_words, n_grams = words.count(), grams.count()
+    return StagedModel(langs, words, grams, n_words, n_grams, base(in_words, n_words), base(in_grams, n_grams))
 
-def predict_language(df: DataFrame, model: BackoffModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+
+def predict_language(df: DataFrame, model: StagedModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(id_col, lang_pred, score)``, one row for each input row. ``und`` with score 0
     if the text is null or has no letter, or the model knows no language; else the
     language of the highest sum of log scores (ties: the first in text order) with its
     posterior probability under equal priors. Whole texts are scored."""
     source = id_and_text(df, id_col, text_col)
     id_type = source.schema[ID].dataType.simpleString()
-    spark = df.sparkSession
-    shared = spark.sparkContext.broadcast(model)  # bounded by MAX_WORDS and MAX_GRAMS
+    if not model.small():
+        return _predict_joined(source, model, id_col, id_type)
+    shared = df.sparkSession.sparkContext.broadcast(model.gather())  # counted: SMALL_ROWS, SMALL_CELLS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
@@ -188,14 +229,137 @@ def predict_language(df: DataFrame, model: BackoffModel, id_col: str = "doc_id",
                 for tokens in texts:
                     at = np.fromiter(map(row_of.__getitem__, tokens), np.intp, count=len(tokens))
                     total = table.take(at, axis=0).sum(axis=0)
-                    if not width or not total[width]:
-                        preds.append(UNDETERMINED)
-                        scores.append(0.0)
-                        continue
-                    best = int(np.argmax(total[:width]))
-                    preds.append(m.langs[best])
-                    scores.append(1.0 / math.fsum(np.exp(np.clip(total[:width] - total[best], -700, 0))))
+                    pred, score = _best(m.langs, total[:width], total[width] > 0)
+                    preds.append(pred)
+                    scores.append(score)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(preds, pa.string()), pa.array(scores, pa.float64())],
                                              names=[id_col, "lang_pred", "score"])
 
     return source.mapInArrow(run, f"`{id_col}` {id_type}, lang_pred string, score double")
+
+
+def _best(langs: list[str], total: np.ndarray, lettered: bool) -> tuple[str, float]:
+    if not langs or not lettered:
+        return UNDETERMINED, 0.0
+    best = int(np.argmax(total))
+    return langs[best], 1.0 / math.fsum(np.exp(np.clip(total - total[best], -700, 0)))
+
+
+def _blocks(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
+    """Texts as blocks of at most about ``BLOCK_CHARS`` characters and ``rows`` rows: one
+    row with the ids and the packed (word, row, count) of the block, and one row for each
+    distinct word."""
+    part = TaskContext.get().partitionId()
+    names = ["block", "at", "word", "ids", "packed"]
+    made = 0
+
+    def flush(ids: list[pa.Array], word_at: dict[str, int], tokens: list[np.ndarray], owners: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        block = (part << 32) | made
+        pair, n = np.unique((np.concatenate(tokens) << 32) | np.concatenate(owners), return_counts=True)
+        packed = np.concatenate([pair >> 32, pair & 0xFFFFFFFF, n]).astype(np.int32).tobytes()
+        packed = len(packed).to_bytes(8, "big") + pa.compress(packed, "zstd", asbytes=True)
+        held = pa.concat_arrays(ids)
+        held = pa.ListArray.from_arrays(pa.array([0, len(held)], pa.int32()), held)
+        yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([-1], pa.int32()), pa.array([None], pa.string()), held,
+                                          pa.array([packed], pa.binary())], names=names)
+        words = list(word_at)
+        for lo in range(0, len(words), 50_000):
+            some = words[lo:lo + 50_000]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([block] * len(some), pa.int64()), pa.array(range(lo, lo + len(some)), pa.int32()), pa.array(some, pa.string()),
+                 pa.nulls(len(some), held.type), pa.nulls(len(some), pa.binary())], names=names)
+
+    ids: list[pa.Array] = []
+    word_at: dict[str, int] = {}
+    place: dict[str, int] = {}
+    tokens: list[np.ndarray] = []
+    owners: list[np.ndarray] = []
+    size = held = 0
+    for b in row_slices(batches, min(rows, 1_000)):
+        at = 0
+        for run in text_slices(b.column(1).to_pylist()):
+            split = [t.split() for t in run]
+            for t in {t for s in split for t in s}.difference(place):
+                w = letters(t)
+                place[t] = word_at.setdefault(w, len(word_at)) if w else -1
+            for k, s in enumerate(split):
+                x = np.fromiter(map(place.__getitem__, s), np.int64, count=len(s))
+                x = x[x >= 0]
+                tokens.append(x)
+                owners.append(np.full(len(x), held + k, np.int64))
+            ids.append(b.column(0).slice(at, len(run)))
+            at += len(run)
+            held += len(run)
+            size += sum(map(len, run))
+            if size > BLOCK_CHARS or held + min(rows, 1_000) > rows:
+                yield from flush(ids, word_at, tokens, owners)
+                made += 1
+                ids, word_at, place, tokens, owners, size, held = [], {}, {}, [], [], 0, 0
+    if held:
+        yield from flush(ids, word_at, tokens, owners)
+
+
+def _unseen_rows(words: DataFrame, model: StagedModel) -> DataFrame:
+    """``(word, langs, rows)`` of unseen words of which a character is known: the means of
+    their longest known n-grams. Words go into buckets; each asks for its n-grams once."""
+    langs, width = model.langs, len(model.langs)
+    words = staged(words, "langid-unseen")
+    buckets = max(1, math.ceil(words.count() / max(1, min(BUCKET, 20 * BUCKET // width))))
+    words = words.withColumn("bucket", F.pmod(F.xxhash64("word"), F.lit(buckets)))
+
+    def ask(key: tuple[pa.Scalar, ...], t: pa.Table) -> pa.Table:
+        grams = sorted({g for w in t.column("word").to_pylist() for k in LENGTHS for g in _grams(w, k)})
+        return pa.table({"bucket": pa.array([key[0].as_py()] * len(grams), pa.int64()), "gram": pa.array(grams, pa.string())})
+
+    def score(t: pa.Table, g: pa.Table) -> pa.Table:
+        unseen = t.column("word").to_pylist()
+        got = BackoffModel(langs, {}, dict(zip(g.column("gram").to_pylist(), _dense(g, width), strict=True))).scores(unseen)
+        at, cols = np.nonzero(got)
+        n = np.bincount(at, minlength=len(unseen))
+        ends = pa.array(np.concatenate([[0], np.cumsum(n)]), pa.int32())
+        out = pa.table({"word": pa.array(unseen, pa.string()), "langs": pa.ListArray.from_arrays(ends, pa.array(cols, pa.int32())),
+                        "rows": pa.ListArray.from_arrays(ends, pa.array(got[at, cols], pa.float64()))})
+        return out.filter(pa.array(n > 0))
+
+    asked = words.groupBy("bucket").applyInArrow(ask, "bucket bigint, gram string")
+    found = asked.join(model.grams, "gram").select("bucket", "gram", "langs", "rows")
+    return words.groupBy("bucket").cogroup(found.groupBy("bucket")).applyInArrow(score, "word string, langs array<int>, rows array<double>")
+
+
+def _predict_joined(source: DataFrame, model: StagedModel, id_col: str, id_type: str) -> DataFrame:
+    langs, width = model.langs, len(model.langs)
+    word_base, gram_base = model.word_base, model.gram_base
+    rows = max(1, min(BLOCK_ROWS, CELLS // width))
+    blocks = staged(source.mapInArrow(lambda batches: _blocks(batches, rows),
+                                      f"block bigint, at int, word string, ids array<{id_type}>, packed binary"), "langid-blocks")
+    asked = blocks.filter("at >= 0").select("block", "at", "word")
+    unseen = asked.select("word").distinct().join(model.words.select("word"), "word", "left_anti")
+    lookup = model.words.withColumn("seen", F.lit(True)).unionByName(staged(_unseen_rows(unseen, model), "langid-unseen-rows").withColumn("seen", F.lit(False)))
+    found = asked.join(lookup, "word").select("block", "at", "seen", "langs", "rows")
+
+    def score(b: pa.Table, f: pa.Table) -> pa.Table:
+        ids = b.column("ids").combine_chunks().flatten()
+        packed = b.column("packed")[0].as_py()
+        raw = pa.decompress(packed[8:], int.from_bytes(packed[:8], "big"), "zstd", asbytes=True)
+        word, row, n = np.frombuffer(raw, np.int32).reshape(3, -1)
+        total, lettered = np.zeros((len(ids), width)), np.zeros(len(ids), bool)
+        lettered[row] = True
+        f = f.sort_by("at")
+        step = max(1, CELLS // width)
+        for lo in range(0, f.num_rows, step):
+            part = f.slice(lo, step)
+            at = part.column("at").to_numpy()
+            dense = _dense(part, width) + np.where(part.column("seen").to_numpy()[:, None], word_base, gram_base)
+            first, last = np.searchsorted(word, at), np.searchsorted(word, at, side="right")
+            lengths = last - first
+            # the pairs of these words: each word's own range, one after the other
+            pairs = np.repeat(first - np.concatenate([[0], np.cumsum(lengths)[:-1]]), lengths) + np.arange(lengths.sum())
+            owner, count, own = row[pairs], n[pairs], np.repeat(np.arange(len(at)), lengths)
+            for x in range(width):
+                total[:, x] += np.bincount(owner, dense[own, x] * count, len(ids))
+        best = [_best(langs, t, has) for t, has in zip(total, lettered, strict=True)]
+        return pa.table({id_col: ids, "lang_pred": pa.array([p for p, _ in best], pa.string()), "score": pa.array([s for _, s in best], pa.float64())})
+
+    held = blocks.filter("at < 0").select(F.col("block").alias("owner"), "ids", "packed")
+    return held.groupBy("owner").cogroup(found.groupBy("block")).applyInArrow(
+        score, f"`{id_col}` {id_type}, lang_pred string, score double")

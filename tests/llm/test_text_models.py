@@ -37,6 +37,24 @@ def test_language_edges(spark):
     assert langid.predict_language(rows.limit(0), model).count() == 0
 
 
+def test_language_model_has_no_cap_and_joins_alike(spark, monkeypatch):
+    docs = table(spark, SF, "documents").limit(300)
+    learn = docs.filter(~held_out("doc_id")).select("text", "lang").unionByName(
+        spark.createDataFrame([("zyxabc", f"l{i:04d}") for i in range(1_001)], "text string, lang string"))
+    assert len(langid.fit_backoff(learn).langs) > 1_001
+    model = langid.fit_backoff(docs.filter(~held_out("doc_id")))
+    counted = langid.word_counts(docs.filter(~held_out("doc_id")), "text", "lang")
+    assert model.n_words == model.words.count() == counted.select("word").distinct().count()
+    rows = docs.select("doc_id", "text").unionByName(spark.createDataFrame(
+        [(-1, None), (-2, "123 !?"), (-3, "日本 qqqq"), (None, "the dog"), (-4, ""), (-5, "the"), (-5, "the")], "doc_id long, text string"))
+    gathered = langid.predict_language(rows, model).collect()
+    monkeypatch.setattr(langid, "SMALL_ROWS", 0)
+    joined = langid.predict_language(rows, model).collect()
+    flat = lambda got: sorted((str(r.doc_id), r.lang_pred, round(r.score, 9)) for r in got)
+    assert flat(joined) == flat(gathered) and len(joined) == rows.count()
+    assert langid.predict_language(rows.limit(0), model).count() == 0
+
+
 def test_backoff_takes_the_longest_known_grams():
     one, two = np.array([1.0, 0.0]), np.array([0.0, 1.0])
     m = langid.BackoffModel(["a", "b"], {"known": one}, {"new": two, "n": one, "e": one})
