@@ -4,7 +4,8 @@ Centroids are fitted on a bounded sample by repeated balanced halving. Every vec
 goes into the list of its nearest centroid, and vectors near a boundary into a few more
 (replicas). A query finds its nearest centroids in an in-memory neighbour graph and
 reads the lists whose centroid is not much farther than the nearest one (distance-ratio
-pruning). Lists longer than a bound are split into shards, so that no list is one task.
+pruning). Lists longer than a bound are split into shards, and the queries of a list into
+blocks, so that no list is one task.
 """
 
 from __future__ import annotations
@@ -24,10 +25,13 @@ from tessera.llm.common import broadcast_if_small, ship_package, staged
 SAMPLE = 20_000
 #: Vectors a list is meant to hold, most centroids, and rows of a list's shard.
 LIST_SIZE, MAX_CENTROIDS, SHARD = 200, 4_000, 4_000
+#: Queries that one task holds of a list's shard.
+QUERY_BLOCK = 4_000
 #: A vector is replicated to centroids up to this ratio of its nearest distance.
 REPLICA_RATIO, REPLICAS = 1.15, 4
-#: A query reads lists up to this ratio of its nearest centroid's distance.
-QUERY_RATIO, PROBES = 1.8, 48
+#: A query reads lists up to this ratio of its nearest centroid's distance: at most a
+#: quarter of the lists, or ``PROBES`` if that is more (recall by size: README).
+QUERY_RATIO, PROBES, PROBE_SHARE = 1.8, 128, 4
 GRAPH_DEGREE = 24
 
 
@@ -69,8 +73,13 @@ class CentroidGraph:
         self.links = [np.array(sorted(s), dtype=np.int64) for s in links]
 
     def search(self, q: np.ndarray, count: int, beam: int = 0) -> tuple[np.ndarray, np.ndarray]:
-        """About the ``count`` nearest centroids of ``q`` and their distances, nearest first."""
+        """About the ``count`` nearest centroids of ``q`` and their distances, nearest first;
+        exactly these if the beam would hold all centroids."""
         beam = max(beam, 4 * count)
+        if beam >= len(self.centroids):
+            d = np.sqrt(((self.centroids - q) ** 2).sum(1))
+            at = np.argsort(d, kind="stable")[:count]
+            return at, d[at]
         start = np.array(self.entries)
         d = np.sqrt(((self.centroids[start] - q) ** 2).sum(1))
         seen = set(self.entries)
@@ -136,28 +145,33 @@ def _assigned(vectors: DataFrame, shared, ratio: float, most: int) -> DataFrame:
 
 
 def search(df: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "vec_id", vec_col: str = "embedding",
-           ratio: float = QUERY_RATIO, probes: int = PROBES) -> DataFrame:
+           ratio: float = QUERY_RATIO, probes: int | None = None) -> DataFrame:
     """``(query_id, rank, vec_id, score)``: for each row of ``queries`` the ``k`` nearest
     rows of ``df`` found, other than rows of its own id; Euclidean distance in double
     precision, ties to the smaller id. Vectors that are null, zero, or hold null or
     non-finite components take no part, nor do null ids. All vectors have one length.
     Every row is indexed; a query of which the lists read hold fewer than ``k`` others
-    is answered from all rows. Repeated ids are rows of their own."""
+    is answered from all rows. Repeated ids are rows of their own. At most ``probes`` lists
+    are read for a query (default: a quarter of them, at least ``PROBES``)."""
     spark = df.sparkSession
     ship_package(spark)
     vectors = clean_vectors(df, id_col, vec_col)
-    shared = spark.sparkContext.broadcast(fit_centroids(vectors))  # at most MAX_CENTROIDS centroids
+    graph = fit_centroids(vectors)
+    probes = probes or max(PROBES, math.ceil(len(graph.centroids) / PROBE_SHARE))
+    shared = spark.sparkContext.broadcast(graph)  # at most MAX_CENTROIDS centroids
     postings = staged(_assigned(vectors, shared, REPLICA_RATIO, REPLICAS).drop("rank"), "ann-postings")
-    # long lists (copies, dense places) are dealt into shards of bounded size
-    shards = postings.groupBy("list").agg(F.ceil(F.count("id") / SHARD).cast("int").alias("shards"))
-    shards = staged(shards, "ann-shards")  # at most MAX_CENTROIDS rows: broadcast
-    postings = postings.join(F.broadcast(shards), "list").withColumn("shard", F.pmod(F.xxhash64("id"), F.col("shards")).cast("int"))
     asked = clean_vectors(queries, id_col, vec_col)
-    probed = _assigned(asked, shared, ratio, probes).select("list", F.col("id").alias("q"), F.col("vec").alias("qv"))
-    read = shards.select(F.col("list").alias("l"), F.explode(F.sequence(F.lit(0), F.col("shards") - 1)).alias("shard"))
-    probed = probed.join(F.broadcast(read), F.col("list") == F.col("l")).select("list", "shard", "q", "qv")
-    lists = postings.select("list", "shard", "id", "vec").groupBy("list", "shard")
-    found = lists.cogroup(probed.groupBy("list", "shard")).applyInArrow(
+    probed = staged(_assigned(asked, shared, ratio, probes).select("list", F.col("id").alias("q"), F.col("vec").alias("qv")), "ann-probed")
+    # long lists (copies, dense places) are dealt into shards, their queries into blocks of bounded size
+    shards = postings.groupBy("list").agg(F.ceil(F.count("id") / SHARD).cast("int").alias("shards"))
+    blocks = probed.groupBy("list").agg(F.ceil(F.count("q") / QUERY_BLOCK).cast("int").alias("blocks"))
+    read = F.broadcast(staged(shards.join(blocks, "list"), "ann-read"))  # at most MAX_CENTROIDS rows
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    deal = lambda id_col, n: F.pmod(F.xxhash64(id_col), F.col(n)).cast("int")
+    postings = postings.join(read, "list").select("list", deal("id", "shards").alias("shard"), each("blocks").alias("block"), "id", "vec")
+    probed = probed.join(read, "list").select("list", each("shards").alias("shard"), deal("q", "blocks").alias("block"), "q", "qv")
+    lists = postings.groupBy("list", "shard", "block")
+    found = lists.cogroup(probed.groupBy("list", "shard", "block")).applyInArrow(
         lambda p, q: _nearest(p, q, k), "q bigint, id bigint, score double")
     found = staged(found.distinct(), "ann-found")
     few = asked.select(F.col("id").alias("q"), "vec").join(

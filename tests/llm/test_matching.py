@@ -145,6 +145,27 @@ def test_nearest_neighbours(spark):
     assert same == list(range(101, 111))
 
 
+def test_nearest_neighbours_recall_over_hundreds_of_lists(spark, monkeypatch):
+    x = np.random.default_rng(6).normal(0, 1, (8_000, 32))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    fit, sizes = ann.fit_centroids, []
+
+    def small_lists(vectors):
+        sizes.append(len((graph := fit(vectors, list_size=16)).centroids))
+        return graph
+
+    monkeypatch.setattr(ann, "fit_centroids", small_lists)
+    queries = df.filter("vec_id % 100 = 0")
+    got = sorted(map(tuple, ann.search(df, queries, k=10).collect()))
+    right = 0
+    for q in range(0, 8_000, 100):
+        d = ((x - x[q]) ** 2).sum(1)
+        right += len(set(np.argsort(d)[1:11].tolist()) & {v for i, _, v, _ in got if i == q})
+    assert sizes[0] >= 400 and right / 800 >= 0.97  # 48 lists of a query: 0.92
+    monkeypatch.setattr(ann, "QUERY_BLOCK", 7)
+    assert sorted(map(tuple, ann.search(df, queries, k=10).collect())) == got
+
+
 def test_nearest_neighbours_small(spark):
     df = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [2.0, 0.0])], "vec_id long, embedding array<float>")
     got = [(r.query_id, r["rank"], r.vec_id, round(r.score, 6)) for r in ann.search(df, df.filter("vec_id = 0")).collect()]
