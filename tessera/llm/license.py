@@ -2,7 +2,9 @@
 functions only.
 
 A template of L shingles is looked for in windows of L + stride shingles that start at
-every multiple of the stride, so some window holds any whole occurrence. A window is a
+every multiple of the stride, so some window holds any whole occurrence. An occurrence
+that inserted words stretch beyond a window is out of reach but for the part that one
+window holds. A window is a
 candidate if one band of its MinHash signature equals the template's; candidates are
 verified by exact shingle containment. A band can only be equal if the window holds the
 band's first minimum, so signatures are made only for windows that hold such a shingle.
@@ -17,9 +19,10 @@ from tessera.llm.common import broadcast_if_small, staged
 from tessera.llm.decontam import bind, words_of
 
 SHINGLE, CONTAINMENT = 5, 0.8
-#: A window that contains 4/5 of a template and a quarter more has a Jaccard similarity
-#: of at least 0.64 with it: 20 bands of 2 miss one in 38,000 such windows (0.59 ** 20).
-BANDS, ROWS = 20, 2
+#: A window of 1.25 L shingles that contains 0.8 L of a template has with it a union of
+#: at most 1.45 L, so a Jaccard similarity of at least 0.55: 40 bands of 2 miss one in
+#: two million such windows ((1 - 0.55 ** 2) ** 40), 20 would miss one in 1,400.
+BANDS, ROWS = 40, 2
 #: Templates' shingles up to which the first test is one literal set.
 LITERAL = 20_000
 

@@ -173,6 +173,20 @@ def test_nearest_neighbours_small(spark):
     assert ann.search(df.limit(0), df.limit(0)).count() == 0
 
 
+def test_license_scan_finds_edited_notices_at_the_bound(spark):
+    w = words(license.NOTICES["mit"])
+    n = len(w) - 4
+
+    def doc(seed):  # four fifths of the notice, then other words; 20 bands missed both
+        rng = random.Random(seed)
+        other = lambda m: [f"w{rng.randrange(10**9)}" for _ in range(m)]
+        return " ".join(other((n // 4) * rng.randrange(3)) + w[:-(-8 * n // 10) + 4] + other(60))
+
+    df = spark.createDataFrame([(i, doc(i)) for i in (8394, 9276)], "doc_id long, text string")
+    got = license.scan_licenses(df, license.default_templates(spark).filter("license = 'mit'")).collect()
+    assert {r.doc_id for r in got if r.containment >= 0.8} == {8394, 9276}
+
+
 def test_license_scan(spark):
     rng = random.Random(9)
     filler = lambda n: " ".join(rng.choice(["lorem", "ipsum", "dolor", "sit"]) for _ in range(n))
