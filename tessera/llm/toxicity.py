@@ -21,10 +21,9 @@ from pyspark.sql import types as T
 from tessera.llm.common import ID, TEXT, id_and_text, letters, row_slices
 
 #: Bounds of the sample the classifiers are fitted on.
-MAX_POSITIVE, MAX_UNLABELLED = 2_000, 6_000
+MAX_POSITIVE, MAX_UNLABELLED = 3_000, 9_000
 BUCKETS = 1 << 20
 MIN_DOCS = 4
-FEATURES = 400
 PREFIXES = range(3, 9)
 CLASSIFIERS = 3
 MEMO_ENTRIES = 400_000
@@ -133,16 +132,15 @@ def _once(docs: list[np.ndarray]) -> list[np.ndarray]:
     return list({d.tobytes(): d for d in docs}.values())
 
 
-def telling_features(positive: list[np.ndarray], unlabelled: list[np.ndarray], most: int = FEATURES) -> np.ndarray:
-    """The features whose share of texts differs most (in standard errors) between the
-    two parts, among those of at least ``MIN_DOCS`` positive texts."""
+def telling_features(positive: list[np.ndarray], unlabelled: list[np.ndarray]) -> np.ndarray:
+    """The features whose share of texts differs by more than three standard errors
+    between the two parts, among those of at least ``MIN_DOCS`` positive texts."""
     n_p, n_u = len(positive), len(unlabelled)
     c_p = np.bincount(np.concatenate(positive), minlength=BUCKETS)
     c_u = np.bincount(np.concatenate(unlabelled), minlength=BUCKETS)
     p, u = (c_p + 0.5) / (n_p + 1), (c_u + 0.5) / (n_u + 1)
     z = np.where(c_p >= MIN_DOCS, (p - u) / np.sqrt(p * (1 - p) / n_p + u * (1 - u) / n_u), 0.0)
-    order = np.lexsort((np.arange(BUCKETS), -np.abs(z)))[:most]
-    return np.sort(order[np.abs(z[order]) > 3.0])
+    return np.flatnonzero(np.abs(z) > 3.0)
 
 
 def fit_toxicity(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -150,7 +148,8 @@ def fit_toxicity(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id"
                  max_unlabelled: int = MAX_UNLABELLED) -> NonNegativePU | None:
     """Fit on the rows of ``labels``. Confirmed toxic rows are the positives, texts of
     ``documents`` (labelled or not; their label is not looked at) the unlabelled part:
-    at most ``max_positive`` and ``max_unlabelled`` rows, those of the smallest id hash.
+    at most ``max_positive`` and ``max_unlabelled`` rows, those of the smallest id hash
+    (of rows equal in id and text one; of an id's rows those of the smallest text hash).
     The class prior is the toxic share over all labelled rows. None if there is no
     positive or no text to learn from."""
     named = labels.select(F.col(id_col).alias(ID), F.col(label_col).cast("int").alias("y")).filter(
@@ -171,7 +170,9 @@ def fit_toxicity(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id"
             found = [sorted(_present(t, memo)) for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found, pa.list_(pa.int32()))], names=["y", "f"])
 
-    chosen = (texts.join(F.broadcast(ids), ID).select("y", TEXT)  # ids: bounded above
+    rows = texts.join(F.broadcast(ids), ID).dropDuplicates([ID, "y", TEXT])  # ids: bounded above
+    part = lambda y, n: rows.filter(F.col("y") == y).orderBy(order, ID, F.xxhash64(TEXT), TEXT).limit(n)
+    chosen = (part(1, max_positive).unionByName(part(0, max_unlabelled)).select("y", TEXT)
               .mapInArrow(features, "y int, f array<int>").toArrow())
     y = chosen.column("y").to_numpy()
     lists = chosen.column("f").combine_chunks()

@@ -70,6 +70,18 @@ def test_toxic_held_out_rows(spark):
     assert caught > 0.8 and wrong < 0.03
 
 
+def test_toxicity_sample_bounds_rows_and_keeps_all_telling_features(spark, monkeypatch):
+    positive, unlabelled = [np.arange(500)] * 50, [np.arange(1_000, 1_010)] * 50
+    assert set(range(500)) <= set(toxicity.telling_features(positive, unlabelled).tolist())
+    docs = spark.createDataFrame([(1, f"awful{chr(97 + i % 26)}{chr(97 + i // 26)} thing") for i in range(50)]
+                                 + [(2 + i, f"calm words {chr(97 + i)}q") for i in range(20)], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, toxic int")
+    sizes, train = [], toxicity.train_pu
+    monkeypatch.setattr(toxicity, "train_pu", lambda p, u, *a: sizes.append((len(p), len(u))) or train(p, u, *a))
+    toxicity.fit_toxicity(docs, labels, max_positive=10, max_unlabelled=15)
+    assert sizes[0] == (10, 15)
+
+
 def test_toxicity_edges(spark):
     docs = spark.createDataFrame([(i, f"calm words {chr(97 + i % 26)}{chr(97 + i // 26)}q here", "x") for i in range(60)]
                                  + [(100 + i, f"you awful thing {chr(97 + i)}zz", "x") for i in range(20)]
