@@ -5,7 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tessera.llm import ann, bpe, chat, decontam, langid, license, ngram_join, pii, tokencount, toxicity
+from tessera.llm import (
+    ann, bpe, chat, decontam, langid, license, ngram_join, pii, resampling, tokencount, toxicity)
 from tessera.llm.common import held_out
 from tessera.sources.tables import table
 
@@ -75,9 +76,14 @@ def op10_ngram_join(spark, sf_dir):
     return ngram_join.jaccard_components(table(spark, sf_dir, "documents"), k=4, num=85, den=100)
 
 
+def op11_resampling(spark, sf_dir):
+    return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), percent=10, min_words=20,
+                               seed=2024, buckets=10_000)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_bpe, op2_ann, op3_decontamination, op4_toxicity, op5_token_counts, op6_language_id, op7_license_scan,
-    op8_chat_format, op9_pii, op10_ngram_join)}
+    op8_chat_format, op9_pii, op10_ngram_join, op11_resampling)}
 
 ORACLE: dict[str, str] = {}
 
@@ -158,3 +164,29 @@ win AS (SELECT doc_id, license, start, count(DISTINCT g) / any_value(n) AS conta
 SELECT doc_id, license, start AS first_word, k + 4 AS n_words, containment FROM win WHERE containment >= 0.8
 QUALIFY row_number() OVER (PARTITION BY doc_id, license ORDER BY containment DESC, start) = 1
 """
+
+ORACLE["op11_resampling"] = r"""
+WITH byte AS (SELECT list(list_reduce(list_prepend(b, range(8)), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END)
+                          ORDER BY b) AS crc FROM range(256) r(b)),
+w AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w, src
+  FROM (SELECT doc_id, text, 's' AS src FROM documents UNION ALL SELECT NULL, text, 't' FROM benchmark)),
+f AS (SELECT doc_id, src, unnest(w) AS f FROM w),
+n AS (SELECT f, count_if(src = 's') AS s, count_if(src = 't') AS t FROM f GROUP BY f),
+b AS (
+  SELECT f, s, t, xor(list_reduce(list_prepend(4294967295,
+           list_transform(range(0, strlen(f)), lambda i: CAST('0x' || substr(hex(encode(f)), 2 * i + 1, 2) AS BIGINT))),
+           lambda c, x: xor(crc[(xor(c, x) & 255) + 1], c >> 8)), 4294967295) % 10000 AS bucket FROM n, byte),
+g AS (
+  SELECT bucket, CAST(floor(1000 * ln((CAST(sum(t) AS DOUBLE) + 1) * ((SELECT sum(s) FROM n) + 10000::DOUBLE)
+         / ((CAST(sum(s) AS DOUBLE) + 1) * ((SELECT sum(t) FROM n) + 10000::DOUBLE)))) AS BIGINT) AS gain FROM b GROUP BY bucket),
+x AS (SELECT doc_id, CAST(sum(gain) AS BIGINT) AS weight FROM f JOIN b USING (f) JOIN g USING (bucket) WHERE src = 's' GROUP BY doc_id),
+scored AS (
+  SELECT doc_id, CAST(len(w) AS BIGINT) AS n_features, coalesce(weight, 0) AS weight,
+         coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('2024:' || doc_id), 1, 8) AS UBIGINT) + 0.5::DOUBLE)
+                                                      / 4294967296::DOUBLE))) AS BIGINT) AS score
+  FROM w LEFT JOIN x USING (doc_id) WHERE src = 's'),
+ranked AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS r, count(*) OVER () AS n FROM scored WHERE n_features >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN r <= 10 * n // 100 THEN r END AS rank FROM scored LEFT JOIN ranked USING (doc_id)
+"""
