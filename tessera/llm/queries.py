@@ -6,13 +6,14 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from tessera.llm import (
-    ann, bpe, chat, decontam, langid, license, ngram_join, pii, resampling, tokencount, toxicity)
+    alignment, ann, bpe, chat, decontam, langid, license, ngram_join, pii, resampling, tokencount, toxicity)
 from tessera.llm.common import held_out
 from tessera.sources.tables import table
 
 #: Key of the pseudonyms that the registered queries use; a deployment has its own.
 PII_KEY = "tessera-demonstration-key"
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def op4_toxicity(spark, sf_dir):
@@ -81,9 +82,14 @@ def op11_resampling(spark, sf_dir):
                                seed=2024, buckets=10_000)
 
 
+def op12_alignment(spark, sf_dir):
+    return alignment.align_tokenizers(table(spark, sf_dir, "documents"), BYTE_BPE, PIECE_BPE)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_bpe, op2_ann, op3_decontamination, op4_toxicity, op5_token_counts, op6_language_id, op7_license_scan,
-    op8_chat_format, op9_pii, op10_ngram_join, op11_resampling)}
+    op8_chat_format, op9_pii, op10_ngram_join, op11_resampling,
+    op12_alignment)}
 
 ORACLE: dict[str, str] = {}
 
