@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from tessera.llm import (
-    alignment, ann, bpe, chat, decontam, langid, license, ngram_join, pii, resampling, tokencount, toxicity)
+    alignment, ann, bpe, chat, decontam, langid, license, neardup, ngram_join, pii, resampling, tokencount, toxicity)
 from tessera.llm.common import held_out
 from tessera.sources.tables import table
 
@@ -86,10 +86,14 @@ def op12_alignment(spark, sf_dir):
     return alignment.align_tokenizers(table(spark, sf_dir, "documents"), BYTE_BPE, PIECE_BPE)
 
 
+def op13_near_duplicates(spark, sf_dir):
+    return neardup.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.98)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_bpe, op2_ann, op3_decontamination, op4_toxicity, op5_token_counts, op6_language_id, op7_license_scan,
     op8_chat_format, op9_pii, op10_ngram_join, op11_resampling,
-    op12_alignment)}
+    op12_alignment, op13_near_duplicates)}
 
 ORACLE: dict[str, str] = {}
 
@@ -196,3 +200,15 @@ scored AS (
 ranked AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS r, count(*) OVER () AS n FROM scored WHERE n_features >= 20)
 SELECT doc_id, n_features, weight, score, CASE WHEN r <= 10 * n // 100 THEN r END AS rank FROM scored LEFT JOIN ranked USING (doc_id)
 """
+
+ORACLE["op13_near_duplicates"] = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+link AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND len(a.v) = len(b.v) AND a.vec_id <> b.vec_id
+         WHERE list_cosine_similarity(a.v, b.v) >= 0.98),
+reach AS (SELECT vec_id, vec_id AS r FROM embeddings UNION SELECT reach.vec_id, link.b FROM reach JOIN link ON link.a = reach.r),
+n AS (SELECT a AS vec_id, count(*) AS n FROM link GROUP BY a)
+SELECT vec_id, coalesce(any_value(n), 0) AS n_links, min(r) AS component_id, min(r) = vec_id AS kept
+FROM reach LEFT JOIN n USING (vec_id) GROUP BY vec_id
+"""
