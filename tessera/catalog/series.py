@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tessera.catalog import standins as S
 from tessera.catalog.standins import KEYS, ORDER, SQL_REF, SQL_TEST, SQL_TRAIN
 from tessera.functions.nulls import round_half_even
+from tessera.functions.time import shift
 
 
 def r9(c):
@@ -98,6 +99,23 @@ def c5_label_windows(spark, sf):
     return C.label_windows(t, "ts", [WINDOW_A, ("2024-01-25 12:00:00", "2024-01-25 18:00:00")]).select("event_id", "label")
 
 
+@register("c5_window_table", f"""
+WITH w AS (SELECT user_id, ts AS s, ts + INTERVAL 6 HOURS AS e FROM events WHERE event_type IN ('error', 'purchase')),
+k AS (SELECT DISTINCT t.event_id FROM ({SQL_TEST}) t JOIN w ON w.user_id = t.user_id AND t.ts BETWEEN w.s AND w.e),
+a AS (SELECT DISTINCT t.event_id FROM ({SQL_TEST}) t JOIN (SELECT DISTINCT s, e FROM w WHERE user_id % 7 = 0) w ON t.ts BETWEEN w.s AND w.e)
+SELECT t.event_id, CAST(k.event_id IS NOT NULL AS INTEGER) AS own_machine, CAST(a.event_id IS NOT NULL AS INTEGER) AS any_machine
+FROM ({SQL_TEST}) t LEFT JOIN k USING (event_id) LEFT JOIN a USING (event_id)""")
+def c5_window_table(spark, sf):
+    """C5 with a table of windows: the six hours after each error or purchase (thousands
+    of overlapping windows). A row is labelled by the windows of its own machine, and by
+    those of any machine whose number divides by seven."""
+    ev = S.events(spark, sf).filter(F.col("event_type").isin("error", "purchase"))
+    w = ev.select("user_id", F.col("ts").alias("s"), shift(F.col("ts"), 6 * 3600).alias("e"))
+    rows = C.label_by_windows(S.test_rows(spark, sf).select("user_id", "event_id", "ts"), "ts", w, "s", "e", KEYS, "own_machine")
+    rows = C.label_by_windows(rows, "ts", w.filter(F.col("user_id") % 7 == 0), "s", "e", (), "any_machine")
+    return rows.select("event_id", "own_machine", "any_machine")
+
+
 @register("a4_prediction_frame", f"""
 SELECT CAST(event_id AS BIGINT) AS event_id,
        CAST(coalesce(ts BETWEEN TIMESTAMP '{WINDOW_A[0]}' AND TIMESTAMP '{WINDOW_A[1]}', false) AS INTEGER) AS will_fail
@@ -207,6 +225,25 @@ def f3_rolling_flag_sum(spark, sf):
     return r.select("event_id", "roll_flag")
 
 
+FRAME6H = "(PARTITION BY user_id ORDER BY ts RANGE BETWEEN INTERVAL 6 HOURS PRECEDING AND CURRENT ROW)"
+
+
+@register("f1_f3_time_frames", f"""
+SELECT event_id, max(value) OVER {FRAME37} AS max_rows, max(value) OVER {FRAME6H} AS max_6h,
+       round_even(avg(value) OVER {FRAME37}, 9) AS mean_rows, round_even(avg(value) OVER {FRAME6H}, 9) AS mean_6h,
+       CAST(sum(CAST(flag AS INTEGER)) OVER {FRAME37} AS BIGINT) AS flags_rows,
+       CAST(sum(CAST(flag AS INTEGER)) OVER {FRAME6H} AS BIGINT) AS flags_6h FROM ({SQL_TEST})""")
+def f1_f3_time_frames(spark, sf):
+    """F1-F3 by both kinds of frame: the last 37 rows and the last 6 hours of a machine
+    (they differ where the cadence has gaps)."""
+    pos = T.order_series(S.test_rows(spark, sf), KEYS, ORDER)
+    by = lambda tail: {f"max_{tail}": ("max", "value"), f"mean_{tail}": ("mean", "value"),
+                       f"flags_{tail}": ("sum", F.col("flag").cast("long"))}
+    both = T.rolling_stats(T.rolling_stats_over_time(pos, "ts", by("6h"), hours=6.0), by("rows"))
+    return both.select("event_id", "max_rows", "max_6h", r9("mean_rows").alias("mean_rows"), r9("mean_6h").alias("mean_6h"),
+                       "flags_rows", "flags_6h")
+
+
 @register("f4_change_points", f"""
 SELECT event_id, coalesce(flag <> lag(flag) OVER ({W_SQL}), true) AS change FROM ({SQL_TEST})""")
 def f4_change_points(spark, sf):

@@ -127,12 +127,14 @@ def select_features(df: DataFrame, exclude: Iterable[str] = (), include: Sequenc
 def assemble(df: DataFrame, cols: Sequence[str], out: str = "features",
              weights: Mapping[str, float] | None = None, handle_invalid: str = "keep") -> DataFrame:
     """B18 (+H9): one vector column from numeric columns; ``weights`` scales a
-    block before stacking. Missing values are kept as NaN (``handleInvalid='keep'``)."""
+    block before stacking. Missing values are kept as NaN (``handleInvalid='keep'``).
+    The vector carries no names of its slots: for wide blocks these are megabytes that
+    would travel with every task."""
     w = weights or {}
     scaled = [f"_w_{c}" if c in w else c for c in cols]
     d = df.select("*", *[(F.col(c) * F.lit(float(k))).alias(f"_w_{c}") for c, k in w.items()])
     va = VectorAssembler(inputCols=scaled, outputCol=out, handleInvalid=handle_invalid)
-    return va.transform(d).drop(*[f"_w_{c}" for c in w])
+    return va.transform(d).withColumn(out, F.col(out).alias(out, metadata={})).drop(*[f"_w_{c}" for c in w])
 
 
 def clip_probability(x: str | Column, eps: float = 1e-6) -> Column:

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.operators.joins import with_scalars
+from tessera.plans import ordered as O
 
 _OPS = {"<": operator.lt, "<=": operator.le, ">": operator.gt, ">=": operator.ge,
         "==": operator.eq, "!=": operator.ne}
@@ -68,6 +69,29 @@ def label_windows(df: DataFrame, ts: str, windows: Sequence[tuple], out: str = "
     return df.withColumn(out, pred.cast("int"))
 
 
+def label_by_windows(df: DataFrame, ts: str, windows: DataFrame, start: str, end: str,
+                     keys: Sequence[str] = (), out: str = "label",
+                     chunk_rows: int = O.DEFAULT_CHUNK_ROWS) -> DataFrame:
+    """C5 for a table of windows: 1 for rows inside any closed window of equal ``keys``,
+    else 0, for all rows and with their columns. A sweep line: each window adds one before
+    the rows of its start and takes it away after those of its end (added up where
+    many share a time), and a row is inside where the running sum of its series is over
+    zero. The cost is one sort of rows and window ends, however the windows overlap; no
+    (row, window) pair is made and a hot key is split. A missing time is outside, and
+    windows with a missing end, or that end before they start, hold nothing."""
+    bounds = windows.filter(F.col(start) <= F.col(end))
+
+    def step(at: str, order: int, delta: int) -> DataFrame:
+        d = bounds.groupBy(*keys, F.col(at).cast("timestamp_ntz").alias("_at")).agg(F.count(F.lit(1)).alias("_n"))
+        return d.select(*keys, "_at", F.lit(order).alias("_kind"), (F.col("_n") * F.lit(delta)).alias("_step"))
+
+    rows = df.select(F.struct(*df.columns).alias("_row"), *keys, F.col(ts).cast("timestamp_ntz").alias("_at"),
+                     F.lit(1).alias("_kind"), F.lit(0).cast("long").alias("_step"))
+    line = rows.unionByName(step(start, 0, 1), allowMissingColumns=True).unionByName(step(end, 2, -1), allowMissingColumns=True)
+    swept = O.running_sum(O.with_position(line, keys, ["_at", "_kind"]), F.col("_step"), "_open", chunk_rows)
+    return swept.filter(F.col("_kind") == 1).select("_row.*", (F.col("_open") > 0).cast("int").alias(out))
+
+
 def all_rows(df: DataFrame, pred: Column, out: str = "all_true") -> DataFrame:
     """Does the predicate hold on every row (``bool_and``; empty -> NULL)."""
     return df.agg(F.every(F.coalesce(pred, F.lit(False))).alias(out))

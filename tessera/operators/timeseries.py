@@ -33,6 +33,15 @@ def rolling_stats(positioned: DataFrame, specs: Mapping[str, tuple[str, str | Co
     return O.rolling(positioned, width, aggs, chunk_rows)
 
 
+def rolling_stats_over_time(positioned: DataFrame, ts: str, specs: Mapping[str, tuple[str, str | Column]],
+                            hours: float = 6.0, chunk_rows: int = O.DEFAULT_CHUNK_ROWS) -> DataFrame:
+    """F1-F3 by time: trailing max / mean / sum over the rows of the last ``hours`` (closed
+    range), whatever their number. Equals :func:`rolling_stats` only where the cadence
+    has no gap."""
+    aggs = {name: _AGG[fn](F.col(c) if isinstance(c, str) else c) for name, (fn, c) in specs.items()}
+    return O.rolling_time(positioned, ts, int(hours * 3600), aggs, chunk_rows)
+
+
 def change_points(positioned: DataFrame, flag: str, out: str = "change",
                   chunk_rows: int = O.DEFAULT_CHUNK_ROWS) -> DataFrame:
     """the flag differs from the previous row's; the first row is a change."""

@@ -13,6 +13,7 @@ task, and a keyless ``Window.orderBy(ts)`` puts the whole table in one task
 2. Frames of ``w`` rows (:func:`rolling`, :func:`lag`) run on
    ``(key, pos div chunk_rows)`` groups; the last ``w-1`` rows of each chunk are
    copied into the next chunk as a halo and dropped after the window.
+   Frames of a time span (:func:`rolling_time`) use the same chunks with a halo by time.
 3. Running totals (:func:`running_sum`) are chunk-local running sums plus the
    prefix of earlier chunk totals.
 """
@@ -24,6 +25,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.functions.time import epoch_us
 from tessera.session import broadcast_if_small, staged
 
 SK = "_sk"          # struct of the series keys; struct equality is null-safe
@@ -100,6 +102,49 @@ def rolling(df: DataFrame, width: int, aggs: Mapping[str, Column],
     return d.select("*", *cols).filter(~F.col("_halo")).drop("_chunk", "_halo")
 
 
+def time_chunks(df: DataFrame, ts: str, span_seconds: int, chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
+    """Assign ``_chunk`` (by position) and copy each row into every other chunk whose rows'
+    frames ``[t - span, t]`` it may fall into (``_halo = true`` on the copies; ``_us`` is
+    the time in microseconds). A chunk needs the rows from its first time less the span
+    to its last time (rows of that time may stand in later chunks). Which chunks a
+    chunk can reach follows from one sorted pass over the chunks' bounds, one row per
+    chunk. Rows without a time are left out."""
+    us = epoch_us(F.col(ts))
+    span = F.lit(span_seconds * 1_000_000)
+    d = df.filter(F.col(ts).isNotNull()).withColumn("_own", _chunk_of(chunk_rows)).withColumn("_us", us)
+    bounds = d.groupBy(SK, F.col("_own").alias("_c")).agg(F.min("_us").alias("_first"), F.max("_us").alias("_last"))
+    bounds = staged(bounds, "chunk-bounds")
+    point = lambda at, kind, c: bounds.select(SK, F.col("_c"), at.alias("_t"), F.lit(kind).alias("_k"), c.alias("_m"))
+    none = F.lit(None).cast("long")
+    # up to which chunk: the last whose first time is within the span of this one's last
+    up = point(F.col("_first"), 0, F.col("_c")).unionByName(point(F.col("_last") + span, 1, none))
+    up = up.withColumn("_to", F.max("_m").over(Window.partitionBy(SK).orderBy("_t", "_k"))).filter("_k = 1")
+    # down to which chunk: the first whose last time is this one's first (times that several chunks share)
+    down = point(F.col("_last"), 0, F.col("_c")).unionByName(point(F.col("_first"), 1, none))
+    down = down.withColumn("_from", F.min("_m").over(Window.partitionBy(SK).orderBy(F.desc("_t"), "_k"))).filter("_k = 1")
+    reach = up.select(SK, "_c", "_to").join(down.select(SK, "_c", "_from"), [SK, "_c"])
+    reach = broadcast_if_small(staged(reach.withColumnRenamed("_c", "_own"), "chunk-reach"))
+    copies = d.join(reach, [SK, "_own"]).withColumn(
+        "_chunk", F.explode(F.sequence(F.least("_from", "_own"), F.greatest("_to", "_own"))))
+    needs = broadcast_if_small(bounds.select(SK, F.col("_c").alias("_chunk"), (F.col("_first") - span).alias("_lo"),
+                                             F.col("_last").alias("_hi")))
+    copies = copies.join(needs, [SK, "_chunk"]).filter(F.col("_us").between(F.col("_lo"), F.col("_hi")))
+    return copies.withColumn("_halo", F.col("_chunk") != F.col("_own")).drop("_own", "_to", "_from", "_lo", "_hi")
+
+
+def rolling_time(df: DataFrame, ts: str, span_seconds: int, aggs: Mapping[str, Column],
+                 chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
+    """Trailing frames by time, not rows: for each row all rows of its series with a time
+    in ``[t - span, t]``, both ends and rows of equal time included. Where the cadence has
+    gaps this differs from :func:`rolling`. ``df`` is positioned by ``ts``; a hot series is
+    split into chunks of rows. A row without a time has no frame: NULL."""
+    w = Window.partitionBy(SK, "_chunk").orderBy("_us").rangeBetween(-span_seconds * 1_000_000, 0)
+    cols = [agg.over(w).alias(name) for name, agg in aggs.items()]
+    framed = time_chunks(df, ts, span_seconds, chunk_rows).select("*", *cols).filter(~F.col("_halo"))
+    framed = framed.select(*df.columns, *aggs)
+    return framed.unionByName(df.filter(F.col(ts).isNull()), allowMissingColumns=True)
+
+
 def lag(df: DataFrame, cols: Mapping[str, str], offset: int = 1,
         chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
     """Value ``offset`` rows earlier in the series (NULL at the series start)."""

@@ -56,6 +56,18 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def staged_by(df: DataFrame, name: str, key: str) -> DataFrame:
+    """As :func:`staged`, in buckets by ``key`` (as many as shuffle partitions): groups,
+    windows and joins on ``key`` read it without an exchange. The buckets are known
+    to the session's catalog only; the files lie in the shared checkpoint folder."""
+    spark = df.sparkSession
+    table = f"{name}_{uuid.uuid4().hex}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{table}"
+    df.write.bucketBy(buckets, key).option("path", path).format("parquet").saveAsTable(table)
+    return spark.table(table)
+
+
 #: Rows up to which a small side is broadcast; beyond, the join shuffles.
 BROADCAST_ROWS = 500_000
 

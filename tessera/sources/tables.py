@@ -36,6 +36,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return read_table(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def read_csv_checked(spark: SparkSession, path: str, schema: T.StructType | str) -> tuple[DataFrame, DataFrame]:
+    """A1: a CSV with a header and an explicit schema as ``(rows, rejects)``. A line that
+    does not fit (text where a number or time belongs, too few or too many fields) is no row
+    with silent NULLs but a reject ``(file, line)``. Every line is parsed whole whatever
+    columns a query takes, so the same lines are rejected each time. NaN becomes NULL."""
+    typed = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
+    bad = "_rejected_line"
+    raw = (spark.read.schema(T.StructType([*typed.fields, T.StructField(bad, T.StringType())]))
+           .option("header", True).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", bad)
+           .option("columnPruning", False).csv(path))
+    # the parser converts the fields a query asks for: this asks for all, and is always true
+    parsed = F.xxhash64(*typed.names).bitwiseOR(F.lit(1)) != 0
+    rows = normalize_missing(raw.filter(F.col(bad).isNull() & parsed).drop(bad))
+    rejects = raw.filter(F.col(bad).isNotNull() & parsed).select(F.col("_metadata.file_path").alias("file"), F.col(bad).alias("line"))
+    return rows, rejects
+
+
 def parse_ts(df: DataFrame, col: str, fmt: str | None = None) -> DataFrame:
     """A2: timestamp text -> TIMESTAMP_NTZ after the read; unparsable text -> NULL.
     A column that already is a timestamp is only cast."""
