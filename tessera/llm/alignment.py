@@ -4,8 +4,8 @@ Two tokenizers cut the same bytes into tokens. Where tokens of both end, the tex
 into groups; tokens of one group are linked. All texts of a batch are merged at once: a
 numpy state vector holds a pointer into either token list for every text, and each step
 advances all of them, emits the pairs that overlap and the places where both end, and
-drops the finished texts. A long text is several lanes of the vector, cut between words
-that both tokenizers encode on their own.
+drops the finished texts. A long text is several lanes of the vector, cut at tokens
+that end together.
 
 How many documents link an id pair is a statistic of the whole corpus. Tasks pack
 the links of some MB of text as numbers of their distinct pairs; the packs ask a table of
@@ -15,6 +15,7 @@ all pairs once for each distinct one, and put the answers back by number.
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,23 +28,31 @@ from pyspark.sql import types as T
 from tessera.llm.byte_bpe import AGREED, byte_bpe, load_tokenizer, piece_bytes
 from tessera.llm.common import _SINGLE_SPACE, ID, TEXT, id_and_text, row_slices, spaced_pieces, staged
 
-#: Tokens of a lane, characters that are tokens at a time, characters of a pack, and
-#: words whose tokens a task remembers.
-LANE, SLICE_CHARS, PACK_CHARS, MEMO_ENTRIES = 256, 1_000_000, 8_000_000, 200_000
+#: Tokens of a lane, characters that are tokens at a time, and characters of a pack.
+LANE, SLICE_CHARS, PACK_CHARS = 256, 1_000_000, 8_000_000
 #: Token pairs of a group up to which they are listed one by one.
 LISTED = 4_096
+_OTHER = re.compile(f"[^\\x00-{chr(ord(AGREED) - 1)}]")
 COUNTS = ("n_a", "n_b", "n_groups", "n_links")
 
 
+def lane_cuts(end_a: np.ndarray, end_b: np.ndarray, doc_a: np.ndarray, lane: int) -> tuple[np.ndarray, np.ndarray]:
+    """Where lanes end: at the documents' ends (``doc_a``, in tokens of A), and at every
+    ``lane``-th token of A that ends with a token of B."""
+    at = np.union1d(doc_a, np.arange(lane, len(end_a), lane))
+    at = at[at > 0]
+    to = np.searchsorted(end_b, end_a[at - 1])
+    good = end_b[to] == end_a[at - 1]
+    return np.concatenate([[0], at[good]]), np.concatenate([[0], to[good] + 1])
+
+
 def merge_lockstep(end_a: np.ndarray, end_b: np.ndarray, from_a: np.ndarray, from_b: np.ndarray):
-    """Merge all lanes at once. ``end_*`` are the tokens' byte ends within their lane,
+    """Merge all lanes at once. ``end_*`` are the tokens' byte ends over the whole batch,
     ``from_*`` the lanes' first tokens and, as last entry, the number of tokens; both
-    ends of every lane agree. Returns the overlapping token pairs ``(i, j)`` and the
-    pairs that end together ``(cut_i, cut_j)``, each in the order of the tokens."""
+    ends of every lane agree. Returns the overlapping token pairs ``(i, j)`` in any order,
+    and the pairs that end together ``(cut_i, cut_j)`` in the order of the tokens."""
     i, j, last = from_a[:-1].copy(), from_b[:-1].copy(), from_a[1:]
     links, cuts = [], []
-    live = np.flatnonzero(i < last)
-    i, j, last = i[live], j[live], last[live]
     while len(i):
         a, b = end_a[i], end_b[j]
         links.append((i, j))
@@ -53,13 +62,10 @@ def merge_lockstep(end_a: np.ndarray, end_b: np.ndarray, from_a: np.ndarray, fro
         live = i < last
         if not live.all():
             i, j, last = i[live], j[live], last[live]
-
-    def ordered(pairs):
-        x, y = (np.concatenate(c) if c else np.zeros(0, np.int64) for c in (zip(*pairs, strict=True) if pairs else ((), ())))
-        at = np.lexsort((y, x))
-        return x[at], y[at]
-
-    return (*ordered(links), *ordered(cuts))
+    none = (np.zeros(0, np.int64),) * 2
+    i, j = map(np.concatenate, zip(*(links or [none]), strict=True))
+    # no two cuts share a token, so each side can be sorted alone
+    return (i, j, *(np.sort(np.concatenate(c)) for c in zip(*(cuts or [none]), strict=True)))
 
 
 def group_links(a, b, i, j, cut_i, cut_j):
@@ -85,14 +91,12 @@ def group_links(a, b, i, j, cut_i, cut_j):
     return tuple(map(np.concatenate, zip(*out, strict=True)))
 
 
-class _Words(dict):
-    """Ids of both tokenizers for each word after a space; None where the pieces of one
-    do not give back the word's bytes."""
+class _Tokenizers:
+    """Both tokenizers, with the bytes and the text of their ids."""
 
     def __init__(self, path_a: str, path_b: str):
         from tokenizers import Tokenizer
 
-        super().__init__()
         self.fast, self.cuttable = byte_bpe(path_a).fast, byte_bpe(path_a).cuttable
         self.lib_a = Tokenizer.from_file(path_a)
         self.lib_a.no_truncation()
@@ -111,123 +115,99 @@ class _Words(dict):
         self.shown = [t + s for t, s in ((text_a, b","), (text_a, b"|"), (text_b, b","), (text_b, b";")) for t in t]
         self.base = len(text_a), len(text_b)
 
-    def encode(self, text: str) -> tuple[list[int], list[int]] | None:
-        """Ids of space and text by A, of text by B; None if either loses bytes."""
-        spaced = " " + text
-        if self.fast and max(text, default="") < AGREED:
-            a = self.fast(spaced)
-        else:
-            a = self.lib_a.encode(spaced, add_special_tokens=False).ids
-        b = self.lib_b.encode(text, num_threads=1)
-        data = spaced.encode()
-        same = (b"".join(map(self.bytes_a.__getitem__, a)) == data) and (b"".join(map(self.bytes_b.__getitem__, b)) == data)
-        return (a, b) if same else None
-
-    def __missing__(self, word: str):
-        if len(self) > MEMO_ENTRIES:
-            self.clear()
-        self[word] = found = self.encode(word)
-        return found
-
-    def parts(self, text: str) -> Iterator[list[tuple[list[int], list[int]]]]:
-        """The text's words (or whole, where words are not sure to be independent) as
-        their ids, in parts of bounded size. Nothing for a text without tokens."""
+    def _encode_a(self, text: str) -> list[int]:
+        if self.fast and not _OTHER.search(text):
+            return self.fast(" " + text)
+        if not (self.fast and self.cuttable):
+            return self.lib_a.encode(" " + text, add_special_tokens=False).ids
+        # only the words with other characters need the file's own library
+        out = []
+        for word in spaced_pieces(text):
+            out += self.fast(" " + word) if not _OTHER.search(word) else self.lib_a.encode(" " + word, add_special_tokens=False).ids
+        return out
+
+    def parts(self, text: str) -> list[tuple[list[int], list[int]]]:
+        """Ids of the text (with a space before it) by A and B, in parts of bounded size
+        where a cut is sure not to matter. None for a text without tokens."""
         if not text:
-            return
-        if self.cuttable and all(None not in map(self.__getitem__, words) for words in _word_parts(text)):
-            for words in _word_parts(text):
-                yield [self[w] for w in words]
-            return
-        whole = self.encode(text)
-        if whole:
-            yield [whole]
-
+            return []
+        found = [(self._encode_a(p), self.lib_b.encode(p, num_threads=1)) for p in self._cut(text)]
+        data = (" " + text).encode()
+        # byte-level merges of a text that nothing normalises lose no byte
+        for side, table in ((1, self.bytes_b),) if self.cuttable else ((0, self.bytes_a), (1, self.bytes_b)):
+            if b"".join([b"".join(map(table.__getitem__, f[side])) for f in found]) != data:
+                return []
+        return found
 
-_WORDS: dict[tuple[str, str], _Words] = {}
+    def _cut(self, text: str) -> Iterator[str]:
+        at = 0
+        while True:
+            far = self.cuttable and len(text) - at > SLICE_CHARS
+            cut = _SINGLE_SPACE.search(text, at + SLICE_CHARS) if far else None
+            yield text[at:cut.start()] if cut else text[at:]
+            if not cut:
+                return
+            at = cut.end()
 
 
-def _words(path_a: str, path_b: str) -> _Words:
-    if (path_a, path_b) not in _WORDS:
-        _WORDS[path_a, path_b] = _Words(path_a, path_b)
-    return _WORDS[path_a, path_b]
+_TOKENIZERS: dict[tuple[str, str], _Tokenizers] = {}
 
 
-def _word_parts(text: str) -> Iterator[list[str]]:
-    at = 0
-    while at <= len(text):
-        cut = _SINGLE_SPACE.search(text, at + SLICE_CHARS) if len(text) - at > SLICE_CHARS else None
-        yield spaced_pieces(text[at:cut.start()] if cut else text[at:])
-        if not cut:
-            return
-        at = cut.end()
+def _tokenizers(path_a: str, path_b: str) -> _Tokenizers:
+    if (path_a, path_b) not in _TOKENIZERS:
+        _TOKENIZERS[path_a, path_b] = _Tokenizers(path_a, path_b)
+    return _TOKENIZERS[path_a, path_b]
 
 
 class _Pack:
     """Alignments of some documents: counts, group hashes, and links by pair."""
 
-    def __init__(self, words: _Words):
-        self.words = words
+    def __init__(self, tokenizers: _Tokenizers):
+        self.tok = tokenizers
         self.ids, self.counts, self.hashes, self.links = [], [], [], []
         self.chars = 0
         self._new()
 
     def _new(self):
-        self.a, self.b = [], []
-        self.lane_a, self.lane_b, self.part_a, self.part_doc = [0], [0], [], []
+        self.a, self.b, self.part_a, self.part_doc = [], [], [], []
 
     def add(self, key, text: str):
         doc = len(self.ids)
         self.ids.append(key)
         self.counts.append(np.zeros(len(COUNTS), np.int64))
         self.hashes.append(None)
-        for part in self.words.parts(text):
-            for a, b in part:
-                self.a += a
-                self.b += b
-                if len(self.a) - self.lane_a[-1] >= LANE:
-                    self.lane_a.append(len(self.a))
-                    self.lane_b.append(len(self.b))
-            if len(self.a) > self.lane_a[-1]:
-                self.lane_a.append(len(self.a))
-                self.lane_b.append(len(self.b))
+        self.chars += len(text)
+        for a, b in self.tok.parts(text):
+            self.a += a
+            self.b += b
             self.part_a.append(len(self.a))
             self.part_doc.append(doc)
             if len(self.a) * 3 > SLICE_CHARS:
                 self.align()
-        self.chars += len(text)
 
     def align(self):
         """Align what is held; only its counts, hashes and links are kept."""
         if not self.a:
             return
         a, b = np.array(self.a, np.int64), np.array(self.b, np.int64)
-        from_a, from_b = np.array(self.lane_a, np.int64), np.array(self.lane_b, np.int64)
-        ends = []
-        for ids, size, start in ((a, self.words.sizes[0], from_a), (b, self.words.sizes[1], from_b)):
-            end = np.cumsum(size[ids])
-            ends.append(end - np.repeat(np.concatenate([[0], end[start[1:-1] - 1]]), np.diff(start)))
-        i, j, cut_i, cut_j = merge_lockstep(*ends, from_a, from_b)
         part_a, docs = np.array(self.part_a, np.int64), np.array(self.part_doc, np.int64)
+        end_a, end_b = np.cumsum(self.tok.sizes[0][a]), np.cumsum(self.tok.sizes[1][b])
+        i, j, cut_i, cut_j = merge_lockstep(end_a, end_b, *lane_cuts(end_a, end_b, part_a, LANE))
         doc_of = lambda token: docs[np.searchsorted(part_a, token, side="right")]
         p, q = np.diff(cut_i, prepend=-1), np.diff(cut_j, prepend=-1)
-        first = docs[0]
-        stats = np.zeros((docs[-1] - first + 1, len(COUNTS)), np.int64)
-        np.add.at(stats, doc_of(cut_i) - first, np.stack([p, q, np.ones(len(p), np.int64), p * q], axis=1))
-        for k, n in enumerate(stats):
-            self.counts[first + k] += n
+        first, doc = docs[0], doc_of(cut_i)
+        for c, n in enumerate((p, q, np.ones(len(p), np.int64), p * q)):
+            for k, total in enumerate(np.bincount(doc - first, weights=n).astype(np.int64).tolist()):
+                self.counts[first + k][c] += total
         self._hash(a, b, p, q, cut_i, part_a)
         token, key, times = group_links(a, b, i, j, cut_i, cut_j)
-        doc = doc_of(token)
-        at = np.lexsort((key, doc))
-        doc, key, times = doc[at], key[at], times[at]
-        new = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (key[1:] != key[:-1])]))
-        self.links.append((doc[new], key[new], np.add.reduceat(times, new)))
+        self.links.append((doc_of(token), key, times))
         self._new()
 
     def _hash(self, a, b, p, q, cut_i, part_a):
         """Continue the documents' digests of ``a1,a2|b1;...``: each token's text with the
         separator after it, all in the order A tokens, B tokens of one group after the other."""
-        base_a, base_b = self.words.base
+        base_a, base_b = self.tok.base
         a_text, b_text = a.copy(), b + 2 * base_a
         a_text[cut_i] += base_a
         b_text[np.cumsum(q) - 1] += base_b
@@ -236,7 +216,7 @@ class _Pack:
         line[np.arange(len(a)) + (np.cumsum(q) - q)[group_a]] = a_text
         line[np.arange(len(b)) + np.cumsum(p)[group_b]] = b_text
         ends = np.concatenate([[0], np.cumsum(p + q)])[np.searchsorted(cut_i, part_a, side="left")]
-        text, at = list(map(self.words.shown.__getitem__, line.tolist())), 0
+        text, at = list(map(self.tok.shown.__getitem__, line.tolist())), 0
         for doc, end in zip(self.part_doc, ends.tolist(), strict=True):
             if end > at:
                 piece = b"".join(text[at:end])[:-1]
@@ -246,15 +226,23 @@ class _Pack:
                     self.hashes[doc].update(b";" + piece)
             at = end
 
+    def _wide(self) -> bool:
+        return len(self.ids).bit_length() + sum(int(n).bit_length() for n in self.tok.base) > 62
+
     def batch(self, id_type: pa.DataType) -> pa.RecordBatch:
         self.align()
         doc, key, times = (np.concatenate(c) for c in zip(*self.links, strict=True)) if self.links else (np.zeros(0, np.int64),) * 3
-        if len(self.links) > 1:  # parts of one document may share pairs
-            at = np.lexsort((key, doc))
+        at = np.lexsort((key, doc)) if self._wide() or (times > 1).any() else None
+        if at is None:  # one number holds document and pair: far faster to sort
+            bits = [int(x).bit_length() for x in (self.tok.base[0], self.tok.base[1])]
+            whole = np.sort((doc << sum(bits)) | ((key >> 32) << bits[1]) | (key & 0xFFFFFFFF))
+            doc, key = whole >> sum(bits), (((whole >> bits[1]) & ((1 << bits[0]) - 1)) << 32) | (whole & ((1 << bits[1]) - 1))
+        else:
             doc, key, times = doc[at], key[at], times[at]
-            new = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (key[1:] != key[:-1])]))
-            doc, key, times = doc[new], key[new], np.add.reduceat(times, new)
-        pairs, code = np.unique(key, return_inverse=True)
+        new = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (key[1:] != key[:-1])])) if len(doc) else np.zeros(0, np.int64)
+        doc, key, times = doc[new], key[new], np.add.reduceat(times, new) if len(new) else times
+        pairs = np.unique(key)
+        code = np.searchsorted(pairs, key)
         starts = np.searchsorted(doc, np.arange(len(self.ids) + 1))
         counts = np.stack(self.counts) if self.counts else np.zeros((0, len(COUNTS)), np.int64)
         shown = ["" if h is None else h.hexdigest() for h in self.hashes]
@@ -282,11 +270,11 @@ def _packs(source: DataFrame, path_a: str, path_b: str) -> DataFrame:
     id_type = source.schema[ID].dataType
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, pack, arrow_id = _words(path_a, path_b), None, None
+        tok, pack, arrow_id = _tokenizers(path_a, path_b), None, None
         for b in row_slices(batches):
             arrow_id = b.column(0).type
             for key, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                pack = pack or _Pack(words)
+                pack = pack or _Pack(tok)
                 pack.add(key, text)
                 if pack.chars > PACK_CHARS:
                     yield pack.batch(arrow_id)
