@@ -18,14 +18,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.common import ID, TEXT, id_and_text, letters, row_slices
+from tessera.llm.common import ID, TEXT, id_and_text, letters, row_slices, staged
 
-#: Bounds of the sample the classifiers are fitted on.
+#: Bounds of the sample of labelled rows that the classifiers are fitted on.
 MAX_POSITIVE, MAX_UNLABELLED = 3_000, 9_000
 BUCKETS = 1 << 20
 MIN_DOCS = 4
 PREFIXES = range(3, 9)
 CLASSIFIERS = 3
+#: Sampled texts that a task cuts.
+TEXTS_A_TASK = 500
 MEMO_ENTRIES = 400_000
 
 
@@ -84,7 +86,7 @@ def _margins(rows: np.ndarray, cols: np.ndarray, n: int, w: np.ndarray, bias: fl
 
 
 def train_pu(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, width: int, seed: int,
-             epochs: int = 60, rate: float = 0.05, decay: float = 2e-3, beta: float = 0.0) -> tuple[np.ndarray, float]:
+             epochs: int = 60, rate: float = 0.05, decay: float = 2e-3, beta: float = 0.0, batches: int = 8) -> tuple[np.ndarray, float]:
     """One classifier by Adam on the logistic loss l: risk = prior * E_p l(+) +
     max(-beta, E_u l(-) - prior * E_p l(-))."""
     rng = np.random.default_rng(seed)
@@ -95,7 +97,7 @@ def train_pu(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: fl
 
     w, bias = np.zeros(width), float(np.log(prior / (1 - prior)))
     m, v = np.zeros(width + 1), np.zeros(width + 1)
-    step, batches = 0, 8
+    step = 0
     for _ in range(epochs):
         p_of = np.array_split(rng.permutation(len(positive)), batches)
         u_of = np.array_split(rng.permutation(len(unlabelled)), batches)
@@ -127,29 +129,30 @@ def train_pu(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: fl
     return w, bias
 
 
-def _once(docs: list[np.ndarray]) -> list[np.ndarray]:
-    """One of each group of texts with the same words: copies teach nothing new."""
-    return list({d.tobytes(): d for d in docs}.values())
-
-
-def telling_features(positive: list[np.ndarray], unlabelled: list[np.ndarray]) -> np.ndarray:
+def telling_features(rows: DataFrame) -> tuple[list[int], int, int]:
     """The features whose share of texts differs by more than three standard errors
-    between the two parts, among those of at least ``MIN_DOCS`` positive texts."""
-    n_p, n_u = len(positive), len(unlabelled)
-    c_p = np.bincount(np.concatenate(positive), minlength=BUCKETS)
-    c_u = np.bincount(np.concatenate(unlabelled), minlength=BUCKETS)
-    p, u = (c_p + 0.5) / (n_p + 1), (c_u + 0.5) / (n_u + 1)
-    z = np.where(c_p >= MIN_DOCS, (p - u) / np.sqrt(p * (1 - p) / n_p + u * (1 - u) / n_u), 0.0)
-    return np.flatnonzero(np.abs(z) > 3.0)
+    between the positive and the unlabelled texts of ``rows`` (``y`` 1 and 0, features
+    ``f``), among those of at least ``MIN_DOCS`` positive texts; and the two parts' sizes.
+    Counted where the texts are; only the telling features' numbers are returned."""
+    n_p, n_u = rows.agg(F.count_if("y = 1"), F.count_if("y = 0")).first()
+    each = rows.select("y", F.explode("f").alias("f")).groupBy("f").agg(
+        F.count_if("y = 1").alias("c_p"), F.count_if("y = 0").alias("c_u"))
+    share = lambda c, n: (F.col(c) + 0.5) / F.lit(n + 1.0)
+    each = each.withColumn("p", share("c_p", n_p)).withColumn("u", share("c_u", n_u))
+    error = F.sqrt(F.col("p") * (1 - F.col("p")) / max(n_p, 1) + F.col("u") * (1 - F.col("u")) / max(n_u, 1))
+    told = each.filter((F.col("c_p") >= MIN_DOCS) & (F.abs(F.col("p") - F.col("u")) > 3.0 * error))
+    return sorted(r["f"] for r in told.select("f").collect()), n_p, n_u  # at most BUCKETS numbers
 
 
 def fit_toxicity(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  label_col: str = "toxic", max_positive: int = MAX_POSITIVE,
                  max_unlabelled: int = MAX_UNLABELLED) -> NonNegativePU | None:
-    """Fit on the rows of ``labels``. Confirmed toxic rows are the positives, texts of
-    ``documents`` (labelled or not; their label is not looked at) the unlabelled part:
-    at most ``max_positive`` and ``max_unlabelled`` rows, those of the smallest id hash
-    (of rows equal in id and text one; of an id's rows those of the smallest text hash).
+    """Fit on the rows of ``labels``. Confirmed toxic rows are the positives; the
+    unlabelled part are the texts of the rated rows whatever their label, which is not
+    looked at: at most ``max_positive`` and ``max_unlabelled`` rows, those of the smallest
+    id hash (of rows equal in id and text one; of an id's rows those of the smallest text
+    hash; of texts with the same features one). Texts are cut into features in tasks, and
+    the driver gets, of each sampled text, the telling features alone.
     The class prior is the toxic share over all labelled rows. None if there is no
     positive or no text to learn from."""
     named = labels.select(F.col(id_col).alias(ID), F.col(label_col).cast("int").alias("y")).filter(
@@ -160,33 +163,36 @@ def fit_toxicity(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id"
     prior = min(max(toxic / rated, 0.005), 0.5)
     texts = id_and_text(documents, id_col, text_col)
     order = F.xxhash64(F.col(ID))
-    first = lambda df, n: df.select(ID).filter(F.col(ID).isNotNull()).distinct().orderBy(order, ID).limit(n)
+    first = lambda df, n: df.select(ID).distinct().orderBy(order, ID).limit(n)
     ids = (first(named.filter("y = 1"), max_positive).withColumn("y", F.lit(1))
-           .unionByName(first(texts, max_unlabelled).withColumn("y", F.lit(0))))
+           .unionByName(first(named, max_unlabelled).withColumn("y", F.lit(0))))
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = _Features()
         for b in row_slices(batches):
-            found = [sorted(_present(t, memo)) for t in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found, pa.list_(pa.int32()))], names=["y", "f"])
+            found = [sorted(_present(t, memo)) for t in b.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(found, pa.list_(pa.int32()))], names=["y", "o", "f"])
 
     rows = texts.join(F.broadcast(ids), ID).dropDuplicates([ID, "y", TEXT])  # ids: bounded above
     part = lambda y, n: rows.filter(F.col("y") == y).orderBy(order, ID, F.xxhash64(TEXT), TEXT).limit(n)
-    chosen = (part(1, max_positive).unionByName(part(0, max_unlabelled)).select("y", TEXT)
-              .mapInArrow(features, "y int, f array<int>").toArrow())
-    y = chosen.column("y").to_numpy()
-    lists = chosen.column("f").combine_chunks()
-    docs = np.split(lists.values.to_numpy(), lists.offsets.to_numpy()[1:-1]) if len(lists) else []
-    positive = [d for d, k in zip(docs, y, strict=True) if k == 1]
-    unlabelled = [d for d, k in zip(docs, y, strict=True) if k == 0]
-    if not positive or not unlabelled:
+    chosen = part(1, max_positive).unionByName(part(0, max_unlabelled)).select("y", order.alias("o"), TEXT)
+    chosen = chosen.repartition(max(1, (max_positive + max_unlabelled) // TEXTS_A_TASK)).mapInArrow(features, "y int, o bigint, f array<int>")
+    # copies teach nothing new
+    chosen = staged(chosen.groupBy("y", "f").agg(F.min("o").alias("o")), "toxicity-sample")
+    kept, n_p, n_u = telling_features(chosen)
+    if not n_p or not n_u:
         return None
-    positive, unlabelled = _once(positive), _once(unlabelled)
-    kept = telling_features(positive, unlabelled)
-    place = np.full(BUCKETS, -1)
-    place[kept] = np.arange(len(kept))
-    compact = lambda ds: [q[q >= 0] for q in (place[d] for d in ds)]
-    positive, unlabelled = compact(positive), compact(unlabelled)
+
+    def compact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place = np.full(BUCKETS, -1, np.int32)
+        place[kept] = np.arange(len(kept), dtype=np.int32)
+        for b in batches:
+            found = [q[q >= 0].tolist() for q in (place[np.asarray(f, np.int64)] for f in b.column(2).to_pylist())]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(found, pa.list_(pa.int32()))], names=["y", "o", "f"])
+
+    small = chosen.select("y", "o", "f").mapInArrow(compact, "y int, o bigint, f array<int>").collect()
+    small.sort(key=lambda r: (r["o"], r["f"]))
+    positive, unlabelled = ([np.asarray(r["f"], np.int64) for r in small if r["y"] == y] for y in (1, 0))
     fits = [train_pu(positive, unlabelled, prior, len(kept), seed) for seed in range(CLASSIFIERS)]
     w = np.mean([f[0] for f in fits], axis=0)
     return NonNegativePU({int(k): float(x) for k, x in zip(kept, w, strict=True) if abs(x) > 1e-6},

@@ -1,5 +1,7 @@
 """Toxicity (4) and language ID (6): held-out accuracy and defined edge cases."""
 
+import math
+
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -71,8 +73,8 @@ def test_toxic_held_out_rows(spark):
 
 
 def test_toxicity_sample_bounds_rows_and_keeps_all_telling_features(spark, monkeypatch):
-    positive, unlabelled = [np.arange(500)] * 50, [np.arange(1_000, 1_010)] * 50
-    assert set(range(500)) <= set(toxicity.telling_features(positive, unlabelled).tolist())
+    rows = spark.createDataFrame([(1, list(range(500)))] * 50 + [(0, list(range(1_000, 1_010)))] * 50, "y int, f array<int>")
+    assert toxicity.telling_features(rows) == (list(range(500)), 50, 50)
     docs = spark.createDataFrame([(1, f"awful{chr(97 + i % 26)}{chr(97 + i // 26)} thing") for i in range(50)]
                                  + [(2 + i, f"calm words {chr(97 + i)}q") for i in range(20)], "doc_id long, text string")
     labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, toxic int")
@@ -82,6 +84,31 @@ def test_toxicity_sample_bounds_rows_and_keeps_all_telling_features(spark, monke
     assert sizes[0] == (10, 15)
 
 
+def test_nonnegative_risk_matches_a_plain_one():
+    """One epoch of one batch against the risk written out with finite differences."""
+    rng = np.random.default_rng(1)
+    pos = [np.flatnonzero(rng.random(4) < 0.6) for _ in range(30)]
+    unl = [np.flatnonzero(rng.random(4) < 0.3) for _ in range(50)]
+    prior, decay = 0.2, 2e-3
+
+    def risk(w, b):
+        s = [[1 / (1 + math.exp(-(sum(w[k] for k in d) + b))) for d in part] for part in (pos, unl)]
+        plus, minus = -sum(map(math.log, s[0])) / len(pos), -sum(math.log(1 - x) for x in s[0]) / len(pos)
+        corrected = -sum(math.log(1 - x) for x in s[1]) / len(unl) - prior * minus
+        # the corrected part is taken upwards where it would fall below zero
+        return (prior * plus + corrected if corrected >= 0 else -corrected) + decay / 20 * sum(x * x for x in w)
+
+    w, b = np.zeros(4), math.log(prior / (1 - prior))
+    m, v, rate = np.zeros(5), np.zeros(5), 0.05
+    for step in range(1, 41):
+        grad = [(risk(w + e[:-1], b + e[-1]) - risk(w - e[:-1], b - e[-1])) / 2e-6 for e in np.eye(5) * 1e-6]
+        m, v = 0.9 * m + 0.1 * np.array(grad), 0.999 * v + 0.001 * np.array(grad) ** 2
+        move = rate * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.999 ** step)) + 1e-8)
+        w, b = w - move[:-1], b - move[-1]
+    got = toxicity.train_pu(pos, unl, prior, 4, seed=0, epochs=40, batches=1)
+    assert np.allclose(got[0], w, atol=2e-3) and abs(got[1] - b) < 2e-3
+
+
 def test_toxicity_edges(spark):
     docs = spark.createDataFrame([(i, f"calm words {chr(97 + i % 26)}{chr(97 + i // 26)}q here", "x") for i in range(60)]
                                  + [(100 + i, f"you awful thing {chr(97 + i)}zz", "x") for i in range(20)]
