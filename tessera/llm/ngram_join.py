@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from tessera.llm.common import ID, TEXT, broadcast_if_small, id_and_text, row_slices, staged
 from tessera.llm.components import connected_components
 from tessera.llm.shingles import shingle_set
+from tessera.plans import ordered
 
 #: Shingles ordered by their exact frequency (the most frequent ones); the others count
 #: as rare. The order decides the cost of the join, not its result.
@@ -304,21 +305,25 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
 def keep_one_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, num: int = 80,
                      den: int = 100) -> DataFrame:
     """The rows of ``df``, with all their columns, that stay when one document of each
-    component stays: the one of the smallest id. Documents without words stay. Of rows
-    that share an id one stays; of rows without an id, those whose text no row with an
-    id has, once each."""
-    found = staged(jaccard_components(df, id_col, text_col, k, num, den).select(
-        F.col(id_col).alias(ID), "component_id").filter(F.col(ID).isNotNull()), "join-found")
-    gone = staged(found.filter(F.col("component_id") != F.col(ID)).select(ID).distinct(), "join-gone")
-    several = staged(found.groupBy(ID).count().filter("count > 1").select(ID), "join-several")
-    named = df.filter(F.col(id_col).isNotNull())
-    kept = named.join(broadcast_if_small(gone), F.col(id_col) == F.col(ID), "left_anti")
-    if several.limit(1).count():
-        at = F.col(id_col) == F.col(ID)
-        kept = kept.join(broadcast_if_small(several), at, "left_anti").unionByName(
-            kept.join(broadcast_if_small(several), at, "left_semi").dropDuplicates([id_col]))
-    nameless = df.filter(F.col(id_col).isNull())
-    if nameless.limit(1).count():
-        texts = named.select(F.col(text_col).alias(TEXT)).filter(F.col(TEXT).isNotNull()).distinct()
-        kept = kept.unionByName(nameless.dropDuplicates([text_col]).join(texts, F.col(text_col) == F.col(TEXT), "left_anti"))
-    return kept
+    component stays: the one of the smallest id, then of the smallest text hash. Documents
+    without words all stay, null texts too. Rows that share an id but not their text are
+    documents of their own, as are rows without an id, which come after all others; of
+    rows equal in id and text one stays (the one whose columns hash smallest)."""
+    odd = df.groupBy(F.col(id_col).alias(ID)).count().filter(F.col(ID).isNull() | (F.col("count") > 1))
+    if not odd.limit(1).count():  # every row has an id of its own
+        found = jaccard_components(df, id_col, text_col, k, num, den)
+        gone = staged(found.filter(F.col("component_id") != F.col(id_col)).select(F.col(id_col).alias(ID)), "join-gone")
+        return df.join(broadcast_if_small(gone), F.col(id_col) == F.col(ID), "left_anti")
+    key = [F.col(id_col).alias("_i"), F.xxhash64(text_col).alias("_h"), F.xxhash64(text_col, F.lit(1)).alias("_g")]
+    numbers = ordered.with_position(staged(df.select(*key).distinct(), "join-keys"), [], ["_i", "_h", "_g"])
+    numbers = numbers.select("_i", "_h", "_g", F.col(ordered.POS).alias("_key"))
+    whole = F.struct(*[F.col(f"`{c}`") for c in df.columns])
+    rows = df.select(whole.alias("_row"), F.col(text_col).alias("_text"), *key).alias("r").join(
+        numbers.alias("n"), F.col("r._i").eqNullSafe(F.col("n._i")) & (F.col("r._h") == F.col("n._h")) & (F.col("r._g") == F.col("n._g")))
+    rows = staged(rows.select("_row", "_text", "_key"), "join-rows")
+    found = staged(jaccard_components(rows, "_key", "_text", k, num, den).distinct(), "join-found")
+    stay = found.filter((F.col("component_id") == F.col("_key")) | (F.col("n_shingles") == 0))
+    kept = rows.join(stay.select("_key", "n_shingles"), "_key")
+    wordless = kept.filter("n_shingles = 0").select("_row.*")
+    firsts = kept.filter("n_shingles > 0").groupBy("_key").agg(F.min_by("_row", F.xxhash64("_row")).alias("_row"))
+    return firsts.select("_row.*").unionByName(wordless)

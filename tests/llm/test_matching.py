@@ -106,12 +106,25 @@ def test_ngram_join_edges(spark):
     df = spark.createDataFrame(data, "doc_id long, text string")
     got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in ngram_join.jaccard_components(df).collect()), key=str)
     assert got == sorted([(3, 2, 3), (5, 2, 3), (5, 2, 3), (4, 2, 3), (None, 2, 3), (None, 1, None), (7, 0, 7)], key=str)
-    kept = ngram_join.keep_one_of_each(df).collect()
-    assert sorted((r.doc_id, r.text) for r in kept if r.doc_id) == [(3, "a b c d e"), (7, "")]
-    assert [r.text for r in kept if r.doc_id is None] == ["q q q q q"]
     assert ngram_join.jaccard_components(df.limit(0)).count() == 0
 
 
+def test_one_of_each_loses_no_document(spark):
+    near = " ".join(f"w{i}" for i in range(40))
+    data = [(1, "x1 x2 x3 x4 x5 x6"), (1, "y1 y2 y3 y4 y5 y6"), (1, "y1 y2 y3 y4 y5 y6"), (3, "a b c d e"), (5, "a b c d e"),
+            (5, "v w x y z"), (4, "v w x y z"), (None, "a b c d e"), (None, "q q q q q"), (None, near), (9, near + " w40"),
+            (7, ""), (None, None), (None, None), (8, " ")]
+    df = spark.createDataFrame([(i, t, "s", n) for n, (i, t) in enumerate(data)], "doc_id long, text string, source string, n_shingles int")
+    kept = ngram_join.keep_one_of_each(df.repartition(3))
+    assert kept.columns == df.columns
+    want = [(1, data[0][1]), (1, data[1][1]), (3, "a b c d e"), (4, "v w x y z"), (None, "q q q q q"), (9, near + " w40"), (7, ""),
+            (None, None), (None, None), (8, " ")]
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted(want, key=str)
+    plain = spark.createDataFrame([(3, near), (2, near + " w40"), (1, ""), (0, None), (6, "a b")], "doc_id long, text string")
+    assert sorted(r.doc_id for r in ngram_join.keep_one_of_each(plain).collect()) == [0, 1, 2, 6]
+    assert ngram_join.keep_one_of_each(df.limit(0)).count() == 0
+
+
 def test_components(spark):
     rng = random.Random(2)
     edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(180)] + [(400 + i, 401 + i) for i in range(60)] + [(1, None)]
