@@ -134,9 +134,9 @@ def telling_features(rows: DataFrame) -> tuple[list[int], int, int]:
     between the positive and the unlabelled texts of ``rows`` (``y`` 1 and 0, features
     ``f``), among those of at least ``MIN_DOCS`` positive texts; and the two parts' sizes.
     Counted where the texts are; only the telling features' numbers are returned."""
-    n_p, n_u = rows.agg(F.count_if("y = 1"), F.count_if("y = 0")).first()
+    n_p, n_u = rows.agg(F.count_if(F.col("y") == 1), F.count_if(F.col("y") == 0)).first()
     each = rows.select("y", F.explode("f").alias("f")).groupBy("f").agg(
-        F.count_if("y = 1").alias("c_p"), F.count_if("y = 0").alias("c_u"))
+        F.count_if(F.col("y") == 1).alias("c_p"), F.count_if(F.col("y") == 0).alias("c_u"))
     share = lambda c, n: (F.col(c) + 0.5) / F.lit(n + 1.0)
     each = each.withColumn("p", share("c_p", n_p)).withColumn("u", share("c_u", n_u))
     error = F.sqrt(F.col("p") * (1 - F.col("p")) / max(n_p, 1) + F.col("u") * (1 - F.col("u")) / max(n_u, 1))
