@@ -186,6 +186,35 @@ def test_nearest_neighbours_small(spark):
     assert ann.search(df.limit(0), df.limit(0)).count() == 0
 
 
+def test_nearest_neighbours_of_repeated_rows(spark):
+    """Rows that repeat an id, a vector or both are candidates and queries of their own."""
+    rng = np.random.default_rng(9)
+    rows = [(i, rng.normal(size=4).tolist()) for i in range(41)]
+    rows += [rows[1], (1, rows[7][1]), (0, rows[0][1]), (0, rows[20][1]), (50, [1.0, 2.0]), (60, [3.0]), (None, rows[3][1])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = ann.search(df, df.filter("vec_id < 2"), k=3).collect()
+    want = []
+    fit = [(n, i, np.array(v)) for n, (i, v) in enumerate(rows) if i is not None and len(v) == 4]
+    for n, i, v in fit:
+        if i < 2:
+            # of rows of one id and vector it does not matter which is whose own
+            near = sorted((float(np.sqrt(((v - u) ** 2).sum())), j) for m, j, u in fit if m != n)[:3]
+            want += [(i, r + 1, j, round(s, 9)) for r, (s, j) in enumerate(near)]
+    assert sorted((r.query_id, r["rank"], r.vec_id, round(r.score, 9)) for r in got) == sorted(want)
+
+
+def test_centroid_graph_finds_near_centroids():
+    rng = np.random.default_rng(3)
+    graph = ann.CentroidGraph(rng.normal(size=(900, 24)))
+    right = 0
+    for q in rng.normal(size=(40, 24)):
+        at, d = graph.search(q, 60)
+        exact = graph.place(q[None, :], 60)
+        assert (np.diff(d) >= 0).all() and len(set(at.tolist())) == 60
+        right += len(set(at.tolist()) & set(exact[0][0].tolist()))
+    assert right / 2400 > 0.97
+
+
 def test_license_scan_finds_edited_notices_at_the_bound(spark):
     w = words(license.NOTICES["mit"])
     n = len(w) - 4
