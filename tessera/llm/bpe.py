@@ -4,7 +4,7 @@ Texts are split into words; every distinct word of the corpus is encoded once, i
 table; its ids are joined back to the words' positions. Positions need not pass through
 a shuffle one by one: documents are dealt into blocks of bounded size, the
 table takes each block's distinct words, and the block puts their ids in their places.
-Decoding joins ids with the pieces of the vocabulary.
+Decoding looks ids up in one array of the vocabulary's pieces.
 """
 
 from __future__ import annotations

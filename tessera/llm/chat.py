@@ -147,7 +147,7 @@ class _Digest:
 def read_back(formatted: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role") -> DataFrame:
     """One row for each conversation, read from formatted turns: ``(conv_col, n_turns,
     turns_sha256, loss_chars, loss_sha256, formatted_chars)``. Turns stream past in the
-    order of (turn, role, formatted), nulls first; a task holds one batch and one
+    order of (turn, role, text), nulls first; a task holds one batch and one
     digest, however long a conversation is. A digest is a chain over a conversation's
     whole text, so that one conversation is digested in one task; formatting is not. Null
     conversation ids are one conversation."""
@@ -187,5 +187,8 @@ def read_back(formatted: DataFrame, conv_col: str = "conv_id", turn_col: str = "
         if rows:
             yield batch()
 
-    ordered = formatted.repartition(conv_col).sortWithinPartitions(conv_col, turn_col, role_col, "formatted")
+    # turns of one place and role stand in the order of their texts, not of the escaped and closed ones
+    closed = F.char_length("formatted") - F.lit(len(BODY_END + CLOSE))
+    text = F.regexp_replace(F.substring(F.col("formatted"), F.lit(1), closed), F.lit(r"(?s)\\(.)"), F.lit("$1"))
+    ordered = formatted.repartition(conv_col).sortWithinPartitions(conv_col, turn_col, role_col, text)
     return ordered.select(conv_col, "formatted", "loss_start", "loss_end").mapInArrow(run, schema)

@@ -52,6 +52,14 @@ def test_read_back_edges(spark):
     assert chat.read_back(chat.format_turns(df.limit(0), chat.text_part(F.col("text")))).count() == 0
 
 
+def test_turns_of_one_place_stand_in_the_order_of_their_texts(spark):
+    texts = ["a", "aA", "<s", "</s>", "<s>", "\\", "[INST]", "[INST", "", "a["]
+    df = spark.createDataFrame([(1, 0, "user", t) for t in texts], "conv_id long, turn long, role string, text string")
+    got = chat.read_back(chat.format_turns(df, chat.text_part(F.col("text")))).first()
+    want = "".join(f"user\n{t}\n" for t in sorted(texts))
+    assert got.turns_sha256 == hashlib.sha256(want.encode()).hexdigest()
+
+
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_matches_its_sql(spark, name):
     con = duckdb.connect()
