@@ -36,7 +36,7 @@ def register(name, sql=None):
 
 
 def _blocks(spark, sf):
-    pos = T.order_series(S.test_rows(spark, sf), KEYS, ORDER)
+    pos = T.order_series(S.test_rows(spark, sf), KEYS, ORDER, from_zero=False)
     return T.island_ids(pos, "flag")
 
 
@@ -204,14 +204,14 @@ def e2_column_stats(spark, sf):
 @register("f1_rolling_max", f"SELECT event_id, max(value) OVER {FRAME37} AS roll_max FROM ({SQL_TEST})")
 def f1_rolling_max(spark, sf):
     """trailing 37-row max per machine."""
-    pos = T.order_series(S.test_rows(spark, sf), KEYS, ORDER)
+    pos = T.order_series(S.test_rows(spark, sf), KEYS, ORDER, from_zero=False)
     return T.rolling_stats(pos, {"roll_max": ("max", "value")}).select("event_id", "roll_max")
 
 
 @register("f2_rolling_mean", f"SELECT event_id, round_even(avg(value) OVER {FRAME37}, 9) AS roll_mean FROM ({SQL_TEST})")
 def f2_rolling_mean(spark, sf):
     """trailing 37-row mean per machine."""
-    pos = T.order_series(S.test_rows(spark, sf), KEYS, ORDER)
+    pos = T.order_series(S.test_rows(spark, sf), KEYS, ORDER, from_zero=False)
     r = T.rolling_stats(pos, {"roll_mean": ("mean", "value")})
     return r.select("event_id", r9("roll_mean").alias("roll_mean"))
 
@@ -220,7 +220,7 @@ def f2_rolling_mean(spark, sf):
           f"SELECT event_id, CAST(sum(CAST(flag AS INTEGER)) OVER {FRAME37} AS BIGINT) AS roll_flag FROM ({SQL_TEST})")
 def f3_rolling_flag_sum(spark, sf):
     """trailing 37-row count of flagged rows per machine."""
-    pos = T.order_series(S.test_rows(spark, sf), KEYS, ORDER)
+    pos = T.order_series(S.test_rows(spark, sf), KEYS, ORDER, from_zero=False)
     r = T.rolling_stats(pos, {"roll_flag": ("sum", F.col("flag").cast("long"))})
     return r.select("event_id", "roll_flag")
 
@@ -236,7 +236,7 @@ SELECT event_id, max(value) OVER {FRAME37} AS max_rows, max(value) OVER {FRAME6H
 def f1_f3_time_frames(spark, sf):
     """F1-F3 by both kinds of frame: the last 37 rows and the last 6 hours of a machine
     (they differ where the cadence has gaps)."""
-    pos = T.order_series(S.test_rows(spark, sf), KEYS, ORDER)
+    pos = T.order_series(S.test_rows(spark, sf), KEYS, ORDER, from_zero=False)
     by = lambda tail: {f"max_{tail}": ("max", "value"), f"mean_{tail}": ("mean", "value"),
                        f"flags_{tail}": ("sum", F.col("flag").cast("long"))}
     both = T.rolling_stats(T.rolling_stats_over_time(pos, "ts", by("6h"), hours=6.0), by("rows"))
@@ -248,7 +248,7 @@ def f1_f3_time_frames(spark, sf):
 SELECT event_id, coalesce(flag <> lag(flag) OVER ({W_SQL}), true) AS change FROM ({SQL_TEST})""")
 def f4_change_points(spark, sf):
     """flag differs from the previous row (first row is a change)."""
-    pos = T.order_series(S.test_rows(spark, sf), KEYS, ORDER)
+    pos = T.order_series(S.test_rows(spark, sf), KEYS, ORDER, from_zero=False)
     return T.change_points(pos, "flag").select("event_id", "change")
 
 

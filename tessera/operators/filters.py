@@ -88,7 +88,7 @@ def label_by_windows(df: DataFrame, ts: str, windows: DataFrame, start: str, end
     rows = df.select(F.struct(*df.columns).alias("_row"), *keys, F.col(ts).cast("timestamp_ntz").alias("_at"),
                      F.lit(1).alias("_kind"), F.lit(0).cast("long").alias("_step"))
     line = rows.unionByName(step(start, 0, 1), allowMissingColumns=True).unionByName(step(end, 2, -1), allowMissingColumns=True)
-    swept = O.running_sum(O.with_position(line, keys, ["_at", "_kind"]), F.col("_step"), "_open", chunk_rows)
+    swept = O.running_sum(O.with_position(line, keys, ["_at", "_kind"], from_zero=False), F.col("_step"), "_open", chunk_rows)
     return swept.filter(F.col("_kind") == 1).select("_row.*", (F.col("_open") > 0).cast("int").alias(out))
 
 

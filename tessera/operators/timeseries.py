@@ -20,9 +20,10 @@ from tessera.plans import ordered as O
 _AGG = {"max": F.max, "min": F.min, "mean": F.avg, "sum": F.sum}
 
 
-def order_series(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """Attach the series key and exact row position (``_sk``, ``_pos``)."""
-    return O.with_position(df, keys, order)
+def order_series(df: DataFrame, keys: Sequence[str], order: Sequence[str], from_zero: bool = True) -> DataFrame:
+    """Attach the series key and exact row position (``_sk``, ``_pos``); without ``from_zero``
+    the positions of one series do not start at 0, which all but F8 can do with."""
+    return O.with_position(df, keys, order, from_zero)
 
 
 def rolling_stats(positioned: DataFrame, specs: Mapping[str, tuple[str, str | Column]],
@@ -52,8 +53,7 @@ def change_points(positioned: DataFrame, flag: str, out: str = "change",
 def island_ids(positioned: DataFrame, flag: str, out: str = "block",
                chunk_rows: int = O.DEFAULT_CHUNK_ROWS) -> DataFrame:
     """block id = running count of change points (runs of equal flags)."""
-    d = change_points(positioned, flag, "_change", chunk_rows)
-    return O.running_sum(d, F.col("_change").cast("long"), out, chunk_rows).drop("_change")
+    return O.running_changes(positioned, flag, out, chunk_rows)
 
 
 def event_rollup(blocks: DataFrame, keys: Sequence[str], flag: str, ts: str, id_col: str,
@@ -95,7 +95,7 @@ def gap_sessions(df: DataFrame, keys: Sequence[str], flag: str, ts: str, tiebrea
     inside ``[start, end]`` (flagged or not) is summarised and sessions with at
     least ``min_rows`` rows are kept, highest peak first."""
     flagged = df.filter(F.coalesce(F.col(flag), F.lit(False))).select(*keys, ts, tiebreak)
-    pos = O.with_position(flagged, keys, [ts, tiebreak])
+    pos = O.with_position(flagged, keys, [ts, tiebreak], from_zero=False)
     lagged = O.lag(pos, {"_prev_ts": ts}, 1, chunk_rows)
     new = F.col("_prev_ts").isNull() | (
         (epoch_us(F.col(ts)) - epoch_us(F.col("_prev_ts"))) > F.lit(gap_seconds * 1_000_000))

@@ -39,10 +39,12 @@ def series_key(keys: Sequence[str]) -> Column:
     return F.struct(F.lit(0).alias("_all"))
 
 
-def with_position(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+def with_position(df: DataFrame, keys: Sequence[str], order: Sequence[str], from_zero: bool = True) -> DataFrame:
     """Add ``_sk`` (series key struct) and ``_pos`` (exact dense position in the
     series by ``order``, missing values last; make ``order`` unique within a key for
-    determinism). No row is lost. The rows are sorted and staged here (a job runs)."""
+    determinism). No row is lost. The rows are sorted and staged here (a job runs). Without
+    ``from_zero`` positions run on from series to series, which spares the look-up of
+    each series' first row; frames, changes and running sums need no more."""
     base = df.withColumn(SK, series_key(keys))
     by = [F.col(c).asc_nulls_last() for c in [*keys, *order]]
     ranged = base.repartitionByRange(*by).sortWithinPartitions(*by)
@@ -57,11 +59,11 @@ def with_position(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> D
         total += r["count"]
     shift = F.broadcast(df.sparkSession.createDataFrame(offsets, "_part bigint, _shift bigint"))
     rank = ranged.join(shift, part == F.col("_part")).withColumn(POS, F.col(POS) + F.col("_shift")).drop("_part", "_shift")
+    if not keys or not from_zero:
+        return rank
     first = ranged.groupBy(SK).agg(F.min(POS).alias("_first"))
     first = first.join(shift, F.shiftright("_first", 33) == F.col("_part")).select(
         F.col(SK).alias("_series"), (F.col("_first") + F.col("_shift")).alias("_start"))
-    if not keys:
-        return rank
     return (rank.join(broadcast_if_small(first), F.col(SK) == F.col("_series"))
             .withColumn(POS, F.col(POS) - F.col("_start")).drop("_series", "_start"))
 
@@ -157,7 +159,20 @@ def lag(df: DataFrame, cols: Mapping[str, str], offset: int = 1,
 def running_sum(df: DataFrame, value: Column, out: str,
                 chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
     """Inclusive running sum of ``value`` along the series (NULL counts as 0)."""
-    d = df.withColumn("_chunk", _chunk_of(chunk_rows)).withColumn("_v", F.coalesce(value, F.lit(0)))
+    return _sum_chunks(df.withColumn("_chunk", _chunk_of(chunk_rows)).withColumn("_v", F.coalesce(value, F.lit(0))), out)
+
+
+def running_changes(df: DataFrame, flag: str, out: str, chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
+    """Running count of the rows whose ``flag`` differs from the row before (the first row,
+    and rows with a missing flag on either side, count). The look back and the sum share
+    one exchange and one sort by chunk."""
+    d = halo_chunks(df, 1, chunk_rows)
+    change = F.coalesce(F.col(flag) != F.lag(F.col(flag)).over(chunk_window()), F.lit(True))
+    d = d.withColumn("_v", change.cast("long")).filter(~F.col("_halo")).drop("_halo")
+    return _sum_chunks(d, out)
+
+
+def _sum_chunks(d: DataFrame, out: str) -> DataFrame:
     upto = chunk_window().rowsBetween(Window.unboundedPreceding, 0)
     d = d.withColumn("_local", F.sum("_v").over(upto))
     totals = d.groupBy(SK, "_chunk").agg(F.sum("_v").alias("_tot"))
