@@ -5,7 +5,6 @@ from __future__ import annotations
 import re
 import shutil
 import tempfile
-import uuid
 from collections.abc import Iterator
 from pathlib import Path
 
@@ -13,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.session import ensure_checkpoint_dir
+from tessera.session import broadcast_if_small, staged  # noqa: F401 (shared by the operators)
 
 ID, TEXT = "__id", "__text"
 
@@ -54,24 +53,6 @@ def held_out(id_col: str | Column) -> Column:
     return F.coalesce(learning_fold(id_col) == 2, F.lit(False))
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as a table into the shared checkpoint folder and read it back:
-    cuts lineage, survives the loss of executors and, unlike a recomputed stage,
-    gives every later reader the same rows."""
-    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-#: Rows up to which a side is broadcast; beyond, the join shuffles both sides.
-BROADCAST_ROWS = 500_000
-
-
-def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` (a staged table) marked for broadcast if it has at most ``rows`` rows."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
-
-
 def letters(token: str) -> str:
     """The letters of a token in lower case (empty if it has none)."""
     return "".join(_LETTERS.findall(token.lower()))

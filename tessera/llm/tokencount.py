@@ -35,9 +35,9 @@ class _Lengths(dict):
     """Tokens of each piece that follows a space: 1 for the proven whole tokens, the
     rest merged when first met. Emptied back to the proven ones when full."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, proven: frozenset[str]):
         self.bpe = byte_bpe(path)
-        self.whole = {s[1:]: 1 for s in proven_whole_tokens(path) if s.startswith(" ") and s != " "}
+        self.whole = {s[1:]: 1 for s in proven if s.startswith(" ") and s != " "}
         super().__init__(self.whole)
 
     def __missing__(self, piece: str) -> int:
@@ -57,13 +57,13 @@ class _Lengths(dict):
 _COUNTERS: dict[str, Callable[[str], int]] = {}
 
 
-def _counter(path: str) -> Callable[[str], int]:
+def _counter(path: str, proven: frozenset[str]) -> Callable[[str], int]:
     if path not in _COUNTERS:
         tok = load_tokenizer(path)
         if path.endswith(".model"):
             _COUNTERS[path] = lambda text: len(tok.encode(text, num_threads=1))
         elif byte_bpe(path).cuttable:
-            _COUNTERS[path] = _Lengths(path).count
+            _COUNTERS[path] = _Lengths(path, proven).count
         else:
             _COUNTERS[path] = lambda text: len(tok.encode(text, add_special_tokens=False))
     return _COUNTERS[path]
@@ -80,8 +80,12 @@ def count_tokens(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str
     source = id_and_text(df, id_col, text_col)
     id_type = source.schema[ID].dataType.simpleString()
 
+    # proven once, here; at most as many strings as the vocabulary has
+    cuttable = not path.endswith(".model") and byte_bpe(path).cuttable
+    shared = df.sparkSession.sparkContext.broadcast(frozenset(proven_whole_tokens(path)) if cuttable else frozenset())
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        count = _counter(path)
+        count = _counter(path, shared.value)
         for b in row_slices(batches):
             n = list(map(count, b.column(2).to_pylist()))
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(n, pa.int64())],
