@@ -9,8 +9,8 @@ be similar if they share a shingle among the first of both, so only those are in
   set's entries is looked at, and a pair is skipped where the positions leave too few
   shingles to come.
 * Derived answers: in each block every set is first compared with one leader. From two
-  sets' overlaps with the same leader follow bounds on their own overlap, which settle
-  most other pairs without a comparison; pairs already connected need none.
+  sets' overlaps with the same leader follow bounds on their own overlap, which refuse or
+  accept most other pairs without a comparison; pairs already connected need none.
 """
 
 from __future__ import annotations
@@ -229,9 +229,10 @@ def _overlaps(pairs: DataFrame, source: DataFrame, k: int) -> DataFrame:
     return found.groupBy("a", "b").agg(best.alias("m")).select("a", "b", "m.na", "m.nb", "m.both")
 
 
-def similar_pairs(source: DataFrame, classes: DataFrame, k: int, num: int, den: int) -> DataFrame:
+def similar_pairs(source: DataFrame, classes: DataFrame, k: int, num: int, den: int, every: bool = False) -> DataFrame:
     """Edges ``(a, b)`` between representatives that connect all similar sets: every
-    similar pair is an edge or is connected through edges."""
+    similar pair is an edge or is connected through edges. With ``every``, all similar
+    pairs (then lists and pairs of one component are not left out)."""
     index = staged(_index(classes, num, den), "join-index")
     # the leader of a block is the set that meets others in most entries
     weight = index.groupBy("rep").agg(F.count("pos").alias("w"))
@@ -249,30 +250,61 @@ def similar_pairs(source: DataFrame, classes: DataFrame, k: int, num: int, den:
     # what is left: entries of lists in which more than one part meets
     parted = index.join(part.withColumnRenamed("node", "rep"), "rep", "left").withColumn(
         "component", F.coalesce("component", "rep"))
-    mixed = parted.groupBy("shingle").agg((F.min("component") != F.max("component")).alias("mixed")).filter("mixed")
-    led = first.select(F.col("a").alias("rep"), F.col("b").alias("leader"), "both").unionByName(
-        first.select(F.col("b").alias("rep"), F.col("a").alias("leader"), "both"))
-    rest = staged(parted.join(mixed.select("shingle"), "shingle", "left_semi").join(led, ["rep", "leader"], "left")
-                  .withColumn("lead", F.when(F.col("rep") == F.col("leader"), F.col("n")).otherwise(F.col("both")))
-                  .drop("both", "m"), "join-rest")
+    if not every:
+        mixed = parted.groupBy("shingle").agg((F.min("component") != F.max("component")).alias("mixed")).filter("mixed")
+        parted = parted.join(mixed.select("shingle"), "shingle", "left_semi")
+    led = first.select(F.col("a").alias("rep"), F.col("b").alias("leader"), "both", F.col("nb").alias("nl")).unionByName(
+        first.select(F.col("b").alias("rep"), F.col("a").alias("leader"), "both", F.col("na").alias("nl")))
+    leads = F.col("rep") == F.col("leader")
+    rest = staged(parted.join(led, ["rep", "leader"], "left")
+                  .withColumn("lead", F.when(leads, F.col("n")).otherwise(F.col("both")))
+                  .withColumn("nl", F.when(leads, F.col("n")).otherwise(F.col("nl"))).drop("both", "m"), "join-rest")
     front = F.col("n") - F.ceil(F.lit(2 * num) * F.col("n") / F.lit(float(num + den)) - F.lit(1e-9)) + 1
     small = rest.filter(F.col("pos") < front).select(
-        "shingle", F.explode(F.array("block", F.col("block") + 1)).alias("block"),
+        "shingle", "nl", F.explode(F.array("block", F.col("block") + 1)).alias("block"),
         *[F.col(c).alias(f"{c}_a") for c in ("rep", "n", "pos", "component", "leader", "lead")])
     large = rest.select("shingle", "block", *[F.col(c).alias(f"{c}_b") for c in ("rep", "n", "pos", "component", "leader", "lead")])
     overlap = need("n_a", "n_b")
     by_leader = F.least("lead_a", "lead_b") + F.least(F.col("n_a") - F.col("lead_a"), F.col("n_b") - F.col("lead_b"))
     possible = (
-        (F.struct("n_a", "rep_a") < F.struct("n_b", "rep_b")) & (F.col("component_a") != F.col("component_b"))
+        (F.struct("n_a", "rep_a") < F.struct("n_b", "rep_b"))
+        & (F.lit(every) | (F.col("component_a") != F.col("component_b")))
         & (F.lit(num) * F.col("n_b") <= F.lit(den) * F.col("n_a"))
         & (F.least(F.col("n_a") - F.col("pos_a"), F.col("n_b") - F.col("pos_b")) >= overlap)
         & (F.coalesce(F.col("leader_a") != F.col("leader_b"), F.lit(True))
            | F.coalesce(by_leader >= overlap, F.lit(True))))
     left = small.join(large, ["shingle", "block"]).filter(possible)
-    pairs = left.select(F.least("rep_a", "rep_b").alias("a"), F.greatest("rep_a", "rep_b").alias("b")).distinct()
+    # what both share with one leader may be more than its set can hold apart: that many they share
+    derived = (F.col("leader_a") == F.col("leader_b")) & (F.col("lead_a") + F.col("lead_b") - F.col("nl") >= overlap)
+    pairs = left.groupBy(F.least("rep_a", "rep_b").alias("a"), F.greatest("rep_a", "rep_b").alias("b")).agg(
+        F.max(F.coalesce(derived, F.lit(False))).alias("derived"))
     pairs = staged(pairs.join(first.select("a", "b"), ["a", "b"], "left_anti"), "join-left")
-    second = staged(_overlaps(pairs, source, k), "join-second")
-    return edges.unionByName(second.filter(F.col("both") >= need("na", "nb")).select("a", "b"))
+    second = staged(_overlaps(pairs.filter("NOT derived").select("a", "b"), source, k), "join-second")
+    return (edges.unionByName(pairs.filter("derived").select("a", "b"))
+            .unionByName(second.filter(F.col("both") >= need("na", "nb")).select("a", "b")))
+
+
+def similar_links(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 4, num: int = 85,
+                  den: int = 100) -> tuple[DataFrame, DataFrame]:
+    """The join itself, as ``(links, members)``. ``members`` has ``(id_col, rep, n_shingles)``
+    for each row with words: equal sets are one class, named by its smallest id. ``links``
+    has every pair ``(a, b)``, a < b, of classes whose sets are similar as in
+    :func:`jaccard_components`, once. Two documents link if their classes are one or a
+    link; copies are not expanded into pairs. Ids with several different texts are refused
+    where they name two classes (give rows ids of their own first). A null id is a member, but a class of null ids alone has a null
+    name and no links. Null and wordless texts are in neither."""
+    source = id_and_text(df, id_col, text_col)
+    fronts = staged(_fronts(source, k, num, den), "join-fronts").filter("n > 0")
+    classes = staged(fronts.groupBy("sig", "n").agg(F.min(ID).alias("rep"), F.first("front").alias("front")), "join-classes")
+    members = fronts.select(ID, "sig", "n").join(classes.select("sig", "n", "rep"), ["sig", "n"]).select(
+        F.col(ID).alias(id_col), "rep", F.col("n").cast("long").alias("n_shingles"))
+    # several classes may share their smallest id; the join names sets by class
+    named = classes.filter(F.col("rep").isNotNull())
+    twice = named.groupBy("rep").count().filter("count > 1").limit(1).count()
+    if twice:
+        raise ValueError("similar_links needs one text for each id")
+    links = similar_pairs(source.filter(F.col(ID).isNotNull()), named, k, num, den, every=True)
+    return links.distinct(), members
 
 
 def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 4, num: int = 85,

@@ -101,6 +101,28 @@ def test_ngram_components(spark, k, num, den):
     assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == brute_components(rows, k, num, den)
 
 
+def test_ngram_links_are_all_similar_pairs(spark):
+    rng = random.Random(11)
+    vocab = [f"w{i}" for i in range(80)]
+    rows = [(9000, None), (9001, " "), (None, "a b c d e")]
+    for g in range(14):
+        base = [rng.choice(vocab) for _ in range(rng.randrange(40, 160))]
+        for _ in range(rng.choice([1, 3, 12])):
+            w = list(base)
+            for _ in range(rng.randrange(0, 3)):
+                w[rng.randrange(len(w))] = rng.choice(vocab)
+            rows.append((len(rows), " ".join(w)))
+    df = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, text string, rep string")
+    links, members = ngram_join.similar_links(df, k=4, num=80, den=100)
+    sets = {i: {tuple(w[s:s + 4]) for s in range(len(w) - 3)} for i, t in rows if i is not None and t and (w := t.split())}
+    low = {i: min(j for j in sets if sets[j] == sets[i]) for i in sets}
+    got = {r.doc_id: (r.rep, r.n_shingles) for r in members.collect()}
+    assert got == {i: (low[i], len(sets[i])) for i in sets} | {None: (None, 2)}
+    want = sorted((a, b) for a in set(low.values()) for b in set(low.values())
+                  if a < b and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]))
+    assert sorted((r.a, r.b) for r in links.collect()) == want and len(want) > 30
+
+
 def test_ngram_join_edges(spark):
     data = [(3, "a b c d e"), (5, "a b c d e"), (5, "v w x y z"), (4, "v w x y z"), (None, "a b c d e"), (None, "q q q q q"), (7, "")]
     df = spark.createDataFrame(data, "doc_id long, text string")
