@@ -128,7 +128,7 @@ class _Tokenizers:
 
     def parts(self, text: str) -> list[tuple[list[int], list[int]]]:
         """Ids of the text (with a space before it) by A and B, in parts of bounded size
-        where a cut is sure not to matter. None for a text without tokens."""
+        where a cut is sure not to matter. No parts for a text without tokens."""
         if not text:
             return []
         found = [(self._encode_a(p), self.lib_b.encode(p, num_threads=1)) for p in self._cut(text)]

@@ -68,6 +68,19 @@ def test_query_matches_its_sql(spark, name):
     assert compare(QUERIES[name](spark, SF).toPandas(), con.execute(ORACLE[name]).df()) is None
 
 
+def test_stages_take_odd_rows(spark):
+    rows = [(1, None), (1, None), (None, "plain words stand here today"), (2, ""), (2, "other words of the same id"), (2, "other words of the same id"),
+            (3, "plain words stand here today"), (None, None), (4, "..."), (5, "lone " * 3000)]
+    schema = spark.read.parquet(f"{SF}/documents.parquet").schema
+    docs = spark.createDataFrame([(i, t, None, "s", None) for i, t in rows], schema)
+    left = {"toxicity": 10, "n-gram join": 8, "decontamination": 10, "pii": 10, "bpe": 10}
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, SF)
+        assert out.count() == left[name], name
+        assert name == "bpe" or out.columns == docs.columns
+        assert stage(spark, docs.limit(0), SF).count() == 0
+
+
 def test_pipeline_stages(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     columns, at = docs.columns, {}
