@@ -28,7 +28,7 @@ PREFIXES = range(3, 9)
 CLASSIFIERS = 3
 #: Sampled texts that a task cuts.
 TEXTS_A_TASK = 500
-MEMO_ENTRIES = 400_000
+MEMO_ENTRIES = 150_000
 
 
 def _hash(text: str) -> int:
