@@ -10,7 +10,6 @@ from tessera.functions.replies import RISK_LABELS
 from tessera.functions.text import strip_accents
 from tessera.operators import batching as H10
 from tessera.operators import textfeatures as H
-from tessera.session import staged
 from tessera.sources.tables import table
 
 QUERIES: dict = {}
@@ -53,23 +52,24 @@ def _summary_sql(grams_sql: str) -> str:
 
 
 def _summary(terms: DataFrame) -> DataFrame:
-    d = staged(terms.select("doc_id", F.col("terms").alias("g")), "grams")  # else cut anew for each use
-    return d.select("doc_id", F.size("g").alias("n_grams"), F.size(F.array_distinct("g")).alias("n_distinct"),
-                    F.md5(F.array_join(F.array_sort(F.array_distinct("g")), "|")).alias("grams_md5"))
+    """Count, distinct count and digest of each row's n-grams, which are not written out."""
+    distinct = F.sort_array(F.array_distinct("terms"))
+    return terms.select("doc_id", F.size("terms").alias("n_grams"), F.size(distinct).alias("n_distinct"),
+                        F.md5(F.array_join(distinct, "|")).alias("grams_md5"))
 
 
 @register("h1_word_ngrams", _summary_sql(_word_grams_sql()))
 def h1_word_ngrams(spark, sf):
     """H1: word 1-3-grams of every document (count, distinct count, digest)."""
     docs = table(spark, sf, "documents")
-    return _summary(H.with_terms(docs, "doc_id", "text", "word", (1, 3)))
+    return _summary(H.with_terms(docs.select("doc_id", "text"), "doc_id", "text", "word", (1, 3)))
 
 
 @register("h2_char_ngrams", _summary_sql(_char_grams_sql()))
 def h2_char_ngrams(spark, sf):
     """H2: character 3-5-grams within padded words of every document."""
     docs = table(spark, sf, "documents")
-    return _summary(H.with_terms(docs, "doc_id", "text", "char_wb", (3, 5)))
+    return _summary(H.with_terms(docs.select("doc_id", "text"), "doc_id", "text", "char_wb", (3, 5)))
 
 
 @register("h3_strip_accents", "SELECT doc_id, md5(strip_accents(text)) AS text_md5, "
@@ -98,15 +98,13 @@ GROUP BY term HAVING count(*) >= {min_df} ORDER BY tf_total DESC, term LIMIT {li
 @register("h4_word_vocabulary", _vocab_sql(_word_grams_sql(FIT_SQL), 1, 100000))
 def h4_word_vocabulary(spark, sf):
     """H4: word vocabulary fitted on the labelled documents (min_df 1, top 100000)."""
-    tf = H.term_counts(_fit_docs(spark, sf), "doc_id", "text", "word", (1, 3))
-    return H.vocabulary(tf, 1, 100000)
+    return H.fit_vocabulary(_fit_docs(spark, sf), "doc_id", "text", "word", (1, 3), 1, 100000)
 
 
 @register("h4_char_vocabulary", _vocab_sql(_char_grams_sql(FIT_SQL), 2, 50000))
 def h4_char_vocabulary(spark, sf):
     """H4: char_wb vocabulary fitted on the labelled documents (min_df 2, top 50000)."""
-    tf = H.term_counts(_fit_docs(spark, sf), "doc_id", "text", "char_wb", (3, 5))
-    return H.vocabulary(tf, 2, 50000)
+    return H.fit_vocabulary(_fit_docs(spark, sf), "doc_id", "text", "char_wb", (3, 5), 2, 50000)
 
 
 def _idf_sql(grams_sql_fit: str, min_df: int, limit: int) -> str:
@@ -118,7 +116,7 @@ def _idf_sql(grams_sql_fit: str, min_df: int, limit: int) -> str:
 def h6_idf(spark, sf):
     """H6: smoothed idf of the fitted word vocabulary."""
     fit = _fit_docs(spark, sf)
-    vocab = H.vocabulary(H.term_counts(fit, "doc_id", "text", "word", (1, 3)), 1, 100000)
+    vocab = H.fit_vocabulary(fit, "doc_id", "text", "word", (1, 3), 1, 100000)
     return r9_all(H.idf_table(vocab, fit))
 
 
