@@ -8,28 +8,36 @@ The model is two tables without a cap. With ``n`` the count of a word in a langu
 log frequency is ``log(2n + 1)`` plus a base of the language, so that a word's row holds
 only the languages that know it. A model counted as small is gathered and sent to the
 tasks; a larger one is joined: documents are dealt into blocks, each block asks for its
-distinct words once (one row for a hot word), and the answers return by block.
+distinct words once, in one packed row for each bucket of words, and one packed answer for
+each of them returns to the block. The table of words lies in the same buckets.
 """
 
 from __future__ import annotations
 
 import math
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.common import ID, id_and_text, letters, row_slices, ship_package, staged, text_slices
+from tessera.session import staged_by
 
 UNDETERMINED = "und"
 #: A model of at most so many words and n-grams, and numbers in all their rows, is
 #: gathered; a larger one is joined.
 SMALL_ROWS, SMALL_CELLS = 250_000, 4_000_000
+#: N-grams, and numbers in all their rows, up to which those are gathered for a joined model.
+GRAM_ROWS, GRAM_CELLS = 2_000_000, 16_000_000
+#: Buckets of words, and a block's answer for one is a row.
+WORD_BUCKETS = 1_024
 #: A block's characters, rows and numbers of its score table; unseen words of a bucket.
 BLOCK_CHARS, BLOCK_ROWS, CELLS, BUCKET = 24_000_000, 20_000, 4_000_000, 20_000
 LENGTHS = (4, 3, 2, 1)
@@ -38,8 +46,17 @@ MEMO_ENTRIES = 300_000
 
 
 def word_counts(df: DataFrame, text_col: str, lang_col: str) -> DataFrame:
-    """``(lang, word, n)`` over all rows with a language; combined within each task
-    before the shuffle, so a hot language or word is a few rows per task."""
+    """``(lang, word, n)`` over all rows with a language."""
+    return _word_parts(df, text_col, lang_col).groupBy("lang", "word").agg(F.sum("n").alias("n"))
+
+
+def _bucket(word: Column) -> Column:
+    return F.pmod(F.crc32(word.cast("binary")), F.lit(WORD_BUCKETS)).cast("int")
+
+
+def _word_parts(df: DataFrame, text_col: str, lang_col: str) -> DataFrame:
+    """Parts of :func:`word_counts`: combined within each task before the shuffle, so a hot
+    language or word is a few rows per task."""
     ship_package(df.sparkSession)
     rows = df.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
 
@@ -65,8 +82,7 @@ def word_counts(df: DataFrame, text_col: str, lang_col: str) -> DataFrame:
         yield from flush(counts)
 
     return (rows.filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
-            .mapInArrow(run, "lang string, word string, n bigint")
-            .groupBy("lang", "word").agg(F.sum("n").alias("n")))
+            .mapInArrow(run, "lang string, word string, n bigint"))
 
 
 def _grams(word: str, k: int) -> list[str]:
@@ -139,9 +155,10 @@ class BackoffModel:
 
 @dataclass
 class StagedModel:
-    """Tables ``(word | gram, langs, rows)``: for each word and n-gram the positions in
-    ``langs`` of the languages that know it and ``log(2n + 1)`` of its counts there;
-    ``word_base`` and ``gram_base`` by language complete the log frequencies."""
+    """Tables ``(bucket, word, langs, counts, rows)``, in buckets, and ``(gram, langs, rows)``:
+    for each word and n-gram the languages that know it (of n-grams their positions in
+    ``langs``) and ``log(2n + 1)`` of its counts there; ``word_base`` and ``gram_base`` by
+    language complete the log frequencies."""
 
     langs: list[str]
     words: DataFrame
@@ -157,10 +174,26 @@ class StagedModel:
 
     def gather(self) -> BackoffModel:
         """The whole model in memory, for a small one."""
-        def rows(table: DataFrame, base: np.ndarray) -> dict[str, np.ndarray]:
-            t = table.toArrow()
-            return dict(zip(t.column(0).to_pylist(), _dense(t, len(self.langs)) + base, strict=True))
-        return BackoffModel(self.langs, rows(self.words, self.word_base), rows(self.grams, self.gram_base))
+        words = self.words.select("word", "langs", "rows").toArrow().combine_chunks()
+        words = words.set_column(1, "langs", _places(words.column("langs").combine_chunks(), self.langs))
+        return BackoffModel(self.langs, _rows(words, self.word_base), _rows(self.grams.toArrow(), self.gram_base))
+
+    def gather_grams(self) -> tuple[pa.Array, np.ndarray] | None:
+        """All n-grams and their rows without the base; None if they are too many."""
+        if self.n_grams > GRAM_ROWS or self.n_grams * len(self.langs) > GRAM_CELLS:
+            return None
+        t = self.grams.toArrow()
+        return t.column("gram").combine_chunks().cast(pa.string()), _dense(t, len(self.langs))
+
+
+def _rows(t: pa.Table, base: np.ndarray) -> dict[str, np.ndarray]:
+    return dict(zip(t.column(0).to_pylist(), _dense(t, len(base)) + base, strict=True))
+
+
+def _places(named: pa.ListArray, langs: list[str]) -> pa.ListArray:
+    """Lists of languages as lists of their positions in ``langs``."""
+    at = pc.index_in(named.flatten().cast(pa.string()), value_set=pa.array(langs, pa.string()))
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(named.value_lengths())]), pa.int32()), at)
 
 
 def _dense(t: pa.Table, width: int) -> np.ndarray:
@@ -175,8 +208,15 @@ def _dense(t: pa.Table, width: int) -> np.ndarray:
 
 def fit_backoff(df: DataFrame, text_col: str = "text", lang_col: str = "lang") -> StagedModel:
     """Learn from all rows of ``df`` with a text and a language: every language, word and
-    n-gram is kept. The driver receives one row for each language."""
-    counted = staged(word_counts(df, text_col, lang_col), "langid-words")
+    n-gram is kept. Words cross one exchange, by bucket. The driver receives one row for each
+    language."""
+    row = F.log(2.0 * F.col("n") + 1.0).alias("row")
+    parts = _word_parts(df, text_col, lang_col).withColumn("bucket", _bucket(F.col("word"))).repartition("bucket")
+    known = (parts.groupBy("bucket", "word", "lang").agg(F.sum("n").alias("n"))
+             .groupBy("bucket", "word").agg(F.collect_list(F.struct("lang", "n", row)).alias("known")))
+    words = staged_by(known.select("bucket", "word", F.col("known.lang").alias("langs"), F.col("known.n").alias("counts"),
+                                   F.col("known.row").alias("rows")), "langid_words", "bucket")
+    counted = words.select("word", F.inline(F.arrays_zip(F.col("langs").alias("lang"), F.col("counts").alias("n"))))
     grams = staged(gram_counts(counted), "langid-grams")
 
     def totals(counts: DataFrame) -> dict[str, int]:
@@ -185,15 +225,12 @@ def fit_backoff(df: DataFrame, text_col: str = "text", lang_col: str = "lang") -
     in_words, in_grams = totals(counted), totals(grams)
     langs = sorted(in_words)
     places = F.broadcast(df.sparkSession.createDataFrame([(x, i) for i, x in enumerate(langs)], "lang string, place int"))
-
-    def table(counts: DataFrame, key: str) -> DataFrame:
-        known = counts.join(places, "lang").groupBy(key).agg(F.collect_list(F.struct("place", F.log(2.0 * F.col("n") + 1.0).alias("row"))).alias("known"))
-        return staged(known.select(key, F.col("known.place").alias("langs"), F.col("known.row").alias("rows")), f"langid-{key}-rows")
+    known = grams.join(places, "lang").groupBy("gram").agg(F.collect_list(F.struct("place", row)).alias("known"))
+    grams = staged(known.select("gram", F.col("known.place").alias("langs"), F.col("known.row").alias("rows")), "langid-gram-rows")
 
     def base(totals: dict[str, int], known: int) -> np.ndarray:
         return np.log(0.5 / (np.array([totals.get(x, 0) for x in langs], dtype=float) + 0.5 * (known + 1)))
 
-    words, grams = table(counted, "word"), table(grams, "gram")
     n_words, n_grams = words.count(), grams.count()
     return StagedModel(langs, words, grams, n_words, n_grams, base(in_words, n_words), base(in_grams, n_grams))
 
@@ -245,29 +282,59 @@ def _best(langs: list[str], total: np.ndarray, lettered: bool) -> tuple[str, flo
     return langs[best], 1.0 / math.fsum(np.exp(np.clip(total - total[best], -700, 0)))
 
 
+def _pack(*arrays: np.ndarray) -> bytes:
+    """Number arrays as compressed bytes, the first bytes of all numbers first."""
+    raw = b"".join(a.view(np.uint8).reshape(len(a), a.itemsize).T.tobytes() for a in arrays)
+    return np.array([len(raw), *map(len, arrays)], np.int64).tobytes() + pa.compress(raw, "zstd", asbytes=True)
+
+
+def _unpack(packed: bytes, *dtypes: type) -> list[np.ndarray]:
+    head = 8 * (len(dtypes) + 1)
+    size, *lengths = np.frombuffer(packed[:head], np.int64).tolist()
+    raw, at, out = np.frombuffer(pa.decompress(packed[head:], size, "zstd", asbytes=True), np.uint8), 0, []
+    for n, t in zip(lengths, map(np.dtype, dtypes), strict=True):
+        out.append(np.ascontiguousarray(raw[at:at + n * t.itemsize].reshape(t.itemsize, n).T).reshape(-1).view(t))
+        at += n * t.itemsize
+    return out
+
+
+def _pack_words(words: list[str]) -> bytes:
+    raw = "\n".join(words).encode()
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, "zstd", asbytes=True)
+
+
+def _unpack_words(packed: bytes) -> list[str]:
+    return pa.decompress(packed[8:], int.from_bytes(packed[:8], "little"), "zstd", asbytes=True).decode().split("\n")
+
+
 def _blocks(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
     """Texts as blocks of at most about ``BLOCK_CHARS`` characters and ``rows`` rows: one
     row with the ids and the packed (word, row, count) of the block, and one row for each
-    distinct word."""
+    bucket of its distinct words, which are numbered from ``at`` on by bucket."""
     part = TaskContext.get().partitionId()
-    names = ["block", "at", "word", "ids", "packed"]
+    names = ["block", "at", "bucket", "ids", "packed"]
     made = 0
 
     def flush(ids: list[pa.Array], word_at: dict[str, int], tokens: list[np.ndarray], owners: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         block = (part << 32) | made
-        pair, n = np.unique((np.concatenate(tokens) << 32) | np.concatenate(owners), return_counts=True)
-        packed = np.concatenate([pair >> 32, pair & 0xFFFFFFFF, n]).astype(np.int32).tobytes()
-        packed = len(packed).to_bytes(8, "big") + pa.compress(packed, "zstd", asbytes=True)
+        words = list(word_at)
+        bucket = np.fromiter((zlib.crc32(w.encode()) % WORD_BUCKETS for w in words), np.int32, count=len(words))
+        order = np.argsort(bucket, kind="stable")
+        place = np.empty(len(words), np.int64)
+        place[order] = np.arange(len(words))
+        pair, n = np.unique((place[np.concatenate(tokens)] << 32) | np.concatenate(owners), return_counts=True)
+        steps = [np.diff(x.astype(np.int32), prepend=np.int32(0)) for x in (pair >> 32, pair & 0xFFFFFFFF)]
         held = pa.concat_arrays(ids)
         held = pa.ListArray.from_arrays(pa.array([0, len(held)], pa.int32()), held)
-        yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([-1], pa.int32()), pa.array([None], pa.string()), held,
-                                          pa.array([packed], pa.binary())], names=names)
-        words = list(word_at)
-        for lo in range(0, len(words), 50_000):
-            some = words[lo:lo + 50_000]
+        yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([-1], pa.int32()), pa.array([None], pa.int32()), held,
+                                          pa.array([_pack(*steps, n.astype(np.int32))], pa.binary())], names=names)
+        asked, at = np.unique(bucket[order], return_index=True)
+        ends = [*at[1:].tolist(), len(words)]
+        if len(asked):
+            packed = [_pack_words([words[i] for i in order[lo:hi]]) for lo, hi in zip(at.tolist(), ends, strict=True)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([block] * len(some), pa.int64()), pa.array(range(lo, lo + len(some)), pa.int32()), pa.array(some, pa.string()),
-                 pa.nulls(len(some), held.type), pa.nulls(len(some), pa.binary())], names=names)
+                [pa.array([block] * len(asked), pa.int64()), pa.array(at, pa.int32()), pa.array(asked, pa.int32()),
+                 pa.nulls(len(asked), held.type), pa.array(packed, pa.binary())], names=names)
 
     ids: list[pa.Array] = []
     word_at: dict[str, int] = {}
@@ -326,37 +393,109 @@ def _unseen_rows(words: DataFrame, model: StagedModel) -> DataFrame:
     return words.groupBy("bucket").cogroup(found.groupBy("bucket")).applyInArrow(score, "word string, langs array<int>, rows array<double>")
 
 
+def _gram_rows(words: list[str], grams: pa.Array, rows: np.ndarray) -> np.ndarray:
+    """As :meth:`BackoffModel.scores` of unseen words; ``rows`` are those of ``grams``."""
+    out = np.zeros((len(words), rows.shape[1]))
+    left = np.arange(len(words))
+    for k in LENGTHS:
+        cut = [_grams(words[i], k) for i in left.tolist()]
+        owner = np.repeat(np.arange(len(left)), list(map(len, cut)))
+        at = pc.index_in(pa.array([g for c in cut for g in c], pa.string()), value_set=grams)
+        found = np.flatnonzero(at.is_valid().to_numpy(zero_copy_only=False))
+        at, owner = at.fill_null(0).to_numpy()[found], owner[found]
+        if not len(at):
+            continue
+        has, starts, n = np.unique(owner, return_index=True, return_counts=True)
+        out[left[has]] = np.add.reduceat(rows[at], starts, axis=0) / n[:, None]
+        left = np.delete(left, has)
+        if not len(left):
+            break
+    return out
+
+
+def _sparse(rows: np.ndarray) -> tuple[pa.ListArray, pa.ListArray]:
+    """The positions and values of the numbers other than zero of each row."""
+    at, cols = np.nonzero(rows)
+    ends = pa.array(np.concatenate([[0], np.cumsum(np.bincount(at, minlength=len(rows)))]), pa.int32())
+    return pa.ListArray.from_arrays(ends, pa.array(cols, pa.int32())), pa.ListArray.from_arrays(ends, pa.array(rows[at, cols], pa.float64()))
+
+
 def _predict_joined(source: DataFrame, model: StagedModel, id_col: str, id_type: str) -> DataFrame:
     langs, width = model.langs, len(model.langs)
     word_base, gram_base = model.word_base, model.gram_base
     rows = max(1, min(BLOCK_ROWS, CELLS // width))
     blocks = staged(source.mapInArrow(lambda batches: _blocks(batches, rows),
-                                      f"block bigint, at int, word string, ids array<{id_type}>, packed binary"), "langid-blocks")
-    asked = blocks.filter("at >= 0").select("block", "at", "word")
-    unseen = asked.select("word").distinct().join(model.words.select("word"), "word", "left_anti")
-    lookup = model.words.withColumn("seen", F.lit(True)).unionByName(staged(_unseen_rows(unseen, model), "langid-unseen-rows").withColumn("seen", F.lit(False)))
-    found = asked.join(lookup, "word").select("block", "at", "seen", "langs", "rows")
+                                      f"block bigint, at int, bucket int, ids array<{id_type}>, packed binary"), "langid-blocks")
+    asked = blocks.filter("at >= 0").select("block", "at", "bucket", "packed")
+    known = model.words.select("bucket", "word", "langs", "rows")
+    gathered = model.gather_grams()
+    grams = source.sparkSession.sparkContext.broadcast(gathered) if gathered else None  # counted: GRAM_ROWS, GRAM_CELLS
+    if not gathered:
+        def missing(a: pa.Table, k: pa.Table) -> pa.Table:
+            words = {w for p in a.column("packed").to_pylist() for w in _unpack_words(p)}.difference(k.column("word").to_pylist())
+            return pa.table({"word": pa.array(sorted(words), pa.string())})
+
+        unseen = asked.groupBy("bucket").cogroup(known.groupBy("bucket")).applyInArrow(missing, "word string")
+        by_gram = staged(_unseen_rows(unseen, model).withColumn("bucket", _bucket(F.col("word"))), "langid-unseen-rows")
+        names = F.array(*map(F.lit, langs))
+        by_gram = by_gram.select("bucket", "word", F.transform("langs", lambda x: F.get(names, x)).alias("langs"), "rows")
+        known = known.withColumn("seen", F.lit(True)).unionByName(by_gram.withColumn("seen", F.lit(False)))
+    flagged = not gathered
+
+    def answer(a: pa.Table, k: pa.Table) -> pa.Table:
+        """For each block's words of a bucket, packed: how they are known (1: as words, 2: by
+        n-grams, 0: not at all), by how many languages, by which, and their rows."""
+        if not a.num_rows:
+            return pa.table({"block": pa.array([], pa.int64()), "at": pa.array([], pa.int32()), "packed": pa.array([], pa.binary())})
+        lists = list(map(_unpack_words, a.column("packed").to_pylist()))
+        words = pa.array([w for x in lists for w in x], pa.string())
+        names, by, values = (k.column(c).combine_chunks() for c in ("word", "langs", "rows"))
+        by = _places(by, langs)
+        values = pa.ListArray.from_arrays(by.offsets, values.flatten())
+        kind = np.where(k.column("seen").to_numpy(), 1, 2) if flagged else np.ones(k.num_rows)
+        at = pc.index_in(words, value_set=names.cast(pa.string()))
+        if grams is not None and at.null_count:
+            unseen = words.filter(at.is_null()).unique()
+            more = _sparse(_gram_rows(unseen.to_pylist(), *grams.value))
+            at = pc.coalesce(at, pc.add(pc.index_in(words, value_set=unseen), len(names)))
+            kind = np.concatenate([kind, np.where(more[0].value_lengths().to_numpy() > 0, 2, 0)])
+            by, values = pa.concat_arrays([by, more[0]]), pa.concat_arrays([values, more[1]])
+        # the last row is that of words that nothing is known of
+        kind = np.concatenate([kind, [0]]).astype(np.int8)
+        none = pa.array([0, 0], pa.int32())
+        by = pa.concat_arrays([by, pa.ListArray.from_arrays(none, pa.array([], pa.int32()))])
+        values = pa.concat_arrays([values, pa.ListArray.from_arrays(none, pa.array([], pa.float64()))])
+        at, lo, packed = at.fill_null(len(kind) - 1), 0, []
+        for x in lists:
+            part = at.slice(lo, len(x))
+            lo += len(x)
+            which, what = by.take(part), values.take(part)
+            packed.append(_pack(kind[part.to_numpy()], which.value_lengths().to_numpy(), which.flatten().to_numpy(), what.flatten().to_numpy()))
+        return pa.table({"block": a.column("block"), "at": a.column("at"), "packed": pa.array(packed, pa.binary())})
+
+    found = asked.groupBy("bucket").cogroup(known.groupBy("bucket")).applyInArrow(answer, "block bigint, at int, packed binary")
 
     def score(b: pa.Table, f: pa.Table) -> pa.Table:
         ids = b.column("ids").combine_chunks().flatten()
-        packed = b.column("packed")[0].as_py()
-        raw = pa.decompress(packed[8:], int.from_bytes(packed[:8], "big"), "zstd", asbytes=True)
-        word, row, n = np.frombuffer(raw, np.int32).reshape(3, -1)
+        word, row, n = _unpack(b.column("packed")[0].as_py(), np.int32, np.int32, np.int32)
+        word, row = np.cumsum(word), np.cumsum(row)
         total, lettered = np.zeros((len(ids), width)), np.zeros(len(ids), bool)
         lettered[row] = True
-        f = f.sort_by("at")
         step = max(1, CELLS // width)
-        for lo in range(0, f.num_rows, step):
-            part = f.slice(lo, step)
-            at = part.column("at").to_numpy()
-            dense = _dense(part, width) + np.where(part.column("seen").to_numpy()[:, None], word_base, gram_base)
-            first, last = np.searchsorted(word, at), np.searchsorted(word, at, side="right")
-            lengths = last - first
-            # the pairs of these words: each word's own range, one after the other
-            pairs = np.repeat(first - np.concatenate([[0], np.cumsum(lengths)[:-1]]), lengths) + np.arange(lengths.sum())
-            owner, count, own = row[pairs], n[pairs], np.repeat(np.arange(len(at)), lengths)
-            for x in range(width):
-                total[:, x] += np.bincount(owner, dense[own, x] * count, len(ids))
+        for at, packed in zip(f.column("at").to_pylist(), f.column("packed").to_pylist(), strict=True):
+            kind, size, which, what = _unpack(packed, np.int8, np.int32, np.int32, np.float64)
+            ends = np.concatenate([[0], np.cumsum(size)])
+            for lo in range(0, len(kind), step):
+                hi = min(lo + step, len(kind))
+                dense, s = np.zeros((hi - lo, width)), slice(ends[lo], ends[hi])
+                dense[np.repeat(np.arange(hi - lo), size[lo:hi]), which[s]] = what[s]
+                dense[kind[lo:hi] == 1] += word_base
+                dense[kind[lo:hi] == 2] += gram_base
+                # pairs lie in the order of their words
+                first, last = np.searchsorted(word, [at + lo, at + hi])
+                own, owner, count = word[first:last] - (at + lo), row[first:last], n[first:last]
+                for x in range(width):
+                    total[:, x] += np.bincount(owner, dense[own, x] * count, len(ids))
         best = [_best(langs, t, has) for t, has in zip(total, lettered, strict=True)]
         return pa.table({id_col: ids, "lang_pred": pa.array([p for p, _ in best], pa.string()), "score": pa.array([s for _, s in best], pa.float64())})
 

@@ -57,6 +57,30 @@ def test_language_model_has_no_cap_and_joins_alike(spark, monkeypatch):
     assert langid.predict_language(rows.limit(0), model).count() == 0
 
 
+def test_a_joined_model_asks_in_packed_rows(spark, monkeypatch):
+    """A block's words cross the exchange as one row for each bucket, not as one for each
+    word, and n-grams that are too many to gather give the same."""
+    docs = table(spark, SF, "documents").limit(200).select("doc_id", "text", "lang")
+    model = langid.fit_backoff(docs.filter("doc_id % 3 > 0"))
+    want = {r.doc_id: (r.lang_pred, round(r.score, 9)) for r in langid.predict_language(docs, model).collect()}
+    monkeypatch.setattr(langid, "SMALL_ROWS", 0)
+    written, staged = {}, langid.staged
+
+    def seen(df, name, *a):
+        written[name] = staged(df, name, *a)
+        return written[name]
+
+    monkeypatch.setattr(langid, "staged", seen)
+    for cells in (16_000_000, 0):
+        monkeypatch.setattr(langid, "GRAM_CELLS", cells)
+        got = langid.predict_language(docs, model).collect()
+        assert {r.doc_id: (r.lang_pred, round(r.score, 9)) for r in got} == want and len(got) == len(want)
+    blocks = written["langid-blocks"]
+    most = blocks.groupBy("block").count().agg(F.max("count")).first()[0]
+    assert most <= langid.WORD_BUCKETS + 1 and "word" not in blocks.columns
+    assert "langid-unseen-rows" in written
+
+
 def test_backoff_takes_the_longest_known_grams():
     one, two = np.array([1.0, 0.0]), np.array([0.0, 1.0])
     m = langid.BackoffModel(["a", "b"], {"known": one}, {"new": two, "n": one, "e": one})
