@@ -51,6 +51,9 @@ def _summary_sql(grams_sql: str) -> str:
             f"md5(array_to_string(list_sort(list_distinct(grams)), '|')) AS grams_md5 FROM ({grams_sql})")
 
 
+DIGEST = ("n_grams", "n_distinct", "grams_md5")
+
+
 def _summary(terms: DataFrame) -> DataFrame:
     """Count, distinct count and digest of each row's n-grams, which are not written out."""
     distinct = F.sort_array(F.array_distinct("terms"))
@@ -62,14 +65,14 @@ def _summary(terms: DataFrame) -> DataFrame:
 def h1_word_ngrams(spark, sf):
     """H1: word 1-3-grams of every document (count, distinct count, digest)."""
     docs = table(spark, sf, "documents")
-    return _summary(H.with_terms(docs.select("doc_id", "text"), "doc_id", "text", "word", (1, 3)))
+    return H.with_terms(docs.select("doc_id", "text"), "doc_id", "text", "word", (1, 3), digest=DIGEST)
 
 
 @register("h2_char_ngrams", _summary_sql(_char_grams_sql()))
 def h2_char_ngrams(spark, sf):
     """H2: character 3-5-grams within padded words of every document."""
     docs = table(spark, sf, "documents")
-    return _summary(H.with_terms(docs.select("doc_id", "text"), "doc_id", "text", "char_wb", (3, 5)))
+    return H.with_terms(docs.select("doc_id", "text"), "doc_id", "text", "char_wb", (3, 5), digest=DIGEST)
 
 
 @register("h3_strip_accents", "SELECT doc_id, md5(strip_accents(text)) AS text_md5, "
